@@ -34,21 +34,28 @@ def headers_map(headers: str | Column) -> Column:
 
 
 def put_headers(headers: str | Column, updates: dict[str, Column]) -> Column:
-    """Replace the first header of each name in place, append the names not present."""
+    """Replace the first header of each name in place, append the names not present.
+
+    Old and new headers are bound once through a one-element array, so the
+    expression stays small however often its parts are used.
+    """
     column = F.col(headers) if isinstance(headers, str) else headers
-    column = F.coalesce(column, F.array().cast("array<struct<key:string,value:binary>>"))
-    new = header_list(updates)
-    names = F.transform(column, lambda h: h["key"])
+    old = F.coalesce(column, F.array().cast("array<struct<key:string,value:binary>>"))
+
+    def merge(pair):
+        names = F.transform(pair["old"], lambda h: h["key"])
+
+        def replaced(h, i):
+            match = F.try_element_at(F.filter(pair["new"], lambda u: u["key"] == h["key"]), F.lit(1))
+            first = F.array_position(names, h["key"]) == i + 1
+            value = F.when(first & match.isNotNull(), match["value"]).otherwise(h["value"])
+            return F.struct(h["key"].alias("key"), value.alias("value"))
 
-    def replaced(h, i):
-        match = F.try_element_at(F.filter(new, lambda u: u["key"] == h["key"]), F.lit(1))
-        first = F.array_position(names, h["key"]) == i + 1
-        return F.struct(
-            h["key"].alias("key"), F.when(first & match.isNotNull(), match["value"]).otherwise(h["value"]).alias("value")
-        )
+        added = F.filter(pair["new"], lambda u: ~F.array_contains(names, u["key"]))
+        return F.concat(F.transform(pair["old"], replaced), added)
 
-    added = F.filter(new, lambda u: ~F.array_contains(names, u["key"]))
-    return F.concat(F.transform(column, replaced), added)
+    bound = F.array(F.struct(old.alias("old"), header_list(updates).alias("new")))
+    return F.get(F.transform(bound, merge), F.lit(0))
 
 
 def set_header(headers: str | Column, name: str, value: Column) -> Column:

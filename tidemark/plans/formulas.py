@@ -41,7 +41,7 @@ def image_user(with_id: bool = True) -> list[str]:
 
 
 def _image_text(status: str) -> str:
-    return f"""concat('{{"id":', c, ',"email":', coalesce(concat('"', email, '"'), 'null'), ',"phone":"', phone,
+    return f"""concat('{{"id":', c, ',"email":', CASE WHEN email IS NULL THEN 'null' ELSE concat('"', email, '"') END, ',"phone":"', phone,
         '","full_name":"', full_name, '","birth_date":"', birth_date, '","country":"', country,
         '","status":"', {status}, '","created_at":"', created_at, '"}}')"""
 
