@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def header_list(pairs: dict[str, Column]) -> Column:
     """Headers from names and text columns; pairs whose value is null are left out."""
     items = [
@@ -24,21 +29,17 @@ def header(headers: str | Column, name: str) -> Column:
 def headers_map(headers: str | Column) -> Column:
     """Names to text, the last occurrence of a name wins."""
     column = F.col(headers) if isinstance(headers, str) else headers
-    names = F.transform(column, lambda h: h["key"])
-    last = F.filter(
-        column, lambda h, i: F.array_position(F.slice(names, i + 2, F.size(names)), h["key"]) == 0
-    )
-    return F.map_from_entries(
-        F.transform(last, lambda h: F.struct(h["key"], h["value"].cast("string")))
-    )
 
+    def keep_last(hs):
+        names = F.transform(hs, lambda h: h["key"])
+        last = F.filter(hs, lambda h, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), h["key"]))
+        return F.map_from_entries(F.transform(last, lambda h: F.struct(h["key"], h["value"].cast("string"))))
 
-def put_headers(headers: str | Column, updates: dict[str, Column]) -> Column:
-    """Replace the first header of each name in place, append the names not present.
+    return bound(column, keep_last)
 
-    Old and new headers are bound once through a one-element array, so the
-    expression stays small however often its parts are used.
-    """
+
+def put_headers(headers: str | Column, updates: dict[str, Column]) -> Column:
+    """Replace the first header of each name in place, append the names not present."""
     column = F.col(headers) if isinstance(headers, str) else headers
     old = F.coalesce(column, F.array().cast("array<struct<key:string,value:binary>>"))
 
@@ -54,8 +55,7 @@ def put_headers(headers: str | Column, updates: dict[str, Column]) -> Column:
         added = F.filter(pair["new"], lambda u: ~F.array_contains(names, u["key"]))
         return F.concat(F.transform(pair["old"], replaced), added)
 
-    bound = F.array(F.struct(old.alias("old"), header_list(updates).alias("new")))
-    return F.get(F.transform(bound, merge), F.lit(0))
+    return bound(F.struct(old.alias("old"), header_list(updates).alias("new")), merge)
 
 
 def set_header(headers: str | Column, name: str, value: Column) -> Column:
@@ -64,7 +64,6 @@ def set_header(headers: str | Column, name: str, value: Column) -> Column:
 
 def format_headers(headers: str | Column) -> Column:
     """``k=v`` pairs sorted by name with one blank between, ``-`` when there are none."""
-    as_map = headers_map(headers)
-    pairs = F.array_sort(F.map_entries(as_map))
+    pairs = F.array_sort(F.map_entries(headers_map(headers)))
     text = F.array_join(F.transform(pairs, lambda e: F.concat(e["key"], F.lit("="), e["value"])), " ")
-    return F.when(text == "", F.lit("-")).otherwise(text)
+    return F.coalesce(F.nullif(text, F.lit("")), F.lit("-"))

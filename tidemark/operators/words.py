@@ -99,12 +99,12 @@ def match_top_k(docs: DataFrame, query: str, k: int, ident: str = "doc_id") -> D
     )
     figures = corpus.select(F.struct("*").alias("c")).scalar()
     scored = freq.filter(" OR ".join(f"tf{i} > 0" for i in range(len(terms)))).withColumn("c", figures)
-    total = F.lit(0).cast("decimal(38,9)")
+    total = F.lit(0).cast("decimal(28,9)")
     for i in range(len(terms)):
         tf, df = F.col(f"tf{i}"), F.col(f"c.df{i}")
         idf = F.log(1 + (F.col("c.n") - df + 0.5) / (df + 0.5))
         norm = tf + K1 * (1 - B + B * F.col("len") / F.col("c.avg_len"))
         # Terms are rounded before they are added, so the order of the sum cannot show.
-        total = total + F.round(idf * tf * (K1 + 1) / norm, 9).cast("decimal(38,9)")
+        total = total + F.round(idf * tf * (K1 + 1) / norm, 9).cast("decimal(28,9)")
     score = F.round(total, 6).cast("double")
     return scored.select(ident, score.alias("score")).orderBy(F.desc("score"), F.asc(ident)).limit(k)

@@ -15,7 +15,7 @@ from .views_sql import SQL_VIEWS
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-MODULES = ["q_log", "q_windows", "q_ops", "q_cdc", "q_orders", "q_reliability", "q_txn_saga", "q_search"]
+MODULES = ["q_log", "q_windows", "q_ops", "q_cdc", "q_orders", "q_reliability", "q_txn_saga", "q_search", "q_streams"]
 
 
 def query(name: str, sql: str | None = None):
