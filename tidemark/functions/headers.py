@@ -47,15 +47,20 @@ def put_headers(headers: str | Column, updates: dict[str, Column]) -> Column:
         names = F.transform(pair["old"], lambda h: h["key"])
 
         def replaced(h, i):
-            match = F.try_element_at(F.filter(pair["new"], lambda u: u["key"] == h["key"]), F.lit(1))
-            first = F.array_position(names, h["key"]) == i + 1
-            value = F.when(first & match.isNotNull(), match["value"]).otherwise(h["value"])
+            at = F.array_position(pair["names"], h["key"])
+            first = (at > 0) & (F.array_position(names, h["key"]) == i + 1)
+            value = F.when(first, F.get(pair["new"], (at - 1).cast("int"))["value"]).otherwise(h["value"])
             return F.struct(h["key"].alias("key"), value.alias("value"))
 
         added = F.filter(pair["new"], lambda u: ~F.array_contains(names, u["key"]))
         return F.concat(F.transform(pair["old"], replaced), added)
 
-    return bound(F.struct(old.alias("old"), header_list(updates).alias("new")), merge)
+    def with_names(new):
+        return F.struct(
+            old.alias("old"), new.alias("new"), F.transform(new, lambda u: u["key"]).alias("names")
+        )
+
+    return bound(bound(header_list(updates), with_names), merge)
 
 
 def set_header(headers: str | Column, name: str, value: Column) -> Column:

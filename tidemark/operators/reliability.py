@@ -139,41 +139,49 @@ def due_records(df: DataFrame, stages: list[Stage], now: Column) -> DataFrame:
     )
 
 
+def _chain_end(stages: list[Stage], start: Stage) -> tuple[int, str, int]:
+    """Hops, last stage topic and total delay of a record that fails at every stage from ``start`` on."""
+    by_topic = {s.topic: s for s in stages}
+    stage, hops, delay = start, 1, start.delay_s
+    while stage.next_topic in by_topic:
+        stage = by_topic[stage.next_topic]
+        hops, delay = hops + 1, delay + stage.delay_s
+    return hops, stage.topic, delay
+
+
 def retry_pipeline(df: DataFrame, stages: list[Stage], dlq: str, handler: str = "payment") -> DataFrame:
     """Carry every record through the chain until it is ok or in the dead-letter topic.
 
-    The few stages are unrolled into plain columns of one pass; no row is
-    shuffled and the headers are written once, with the values of the last hop.
+    A handler decides by the value, so a record that fails once fails at every
+    later stage. The way to the end of the chain is known per stage when the
+    plan is built, and one projection writes the headers of the last hop.
     ``final_topic`` is the dead-letter topic or the topic that handled the
     record, ``outcome`` ok or dlq, ``at`` the time of the last failure.
     """
+    ends = {s.topic: _chain_end(stages, s) for s in stages}
+    permanent = F.col("cls") == "permanent"
+
+    def by_stage(values: dict[str, object], default: Column) -> Column:
+        return lookup(F.col("topic"), values, default)
+
+    hops = F.when(permanent, F.lit(1)).otherwise(by_stage({t: e[0] for t, e in ends.items()}, F.lit(1)))
+    previous = F.when(permanent, F.col("topic")).otherwise(by_stage({t: e[1] for t, e in ends.items()}, F.col("topic")))
+    first_delay = by_stage({s.topic: s.delay_s for s in stages}, F.lit(0))
+    delay = F.when(permanent, first_delay).otherwise(by_stage({t: e[2] for t, e in ends.items()}, F.lit(0)))
+    cur = handled(df, handler)
     failing = F.col("cls") != "ok"
-    cur = handled(df, handler).select(
-        *[c for c in df.columns if c != "topic"],
-        F.col("topic").alias("source_topic"),
+    at = F.when(failing, F.timestamp_seconds(F.unix_timestamp("timestamp") + delay)).otherwise(F.col("timestamp"))
+    cur = cur.withColumn("source_topic", F.col("topic")).withColumn("at", at)
+    headers = put_headers("headers", _failure_headers(previous, _retries() + hops, F.col("at"), True))
+    return cur.select(
+        *[c for c in df.columns if c not in ("topic", "headers")],
+        "source_topic",
+        F.when(failing, F.lit(dlq)).otherwise(F.col("topic")).alias("final_topic"),
+        F.when(failing, "dlq").otherwise("ok").alias("outcome"),
+        F.when(failing, headers).otherwise(F.col("headers")).alias("headers"),
         "cls",
         "message",
-        F.col("topic").alias("final_topic"),
-        F.lit(None).cast("string").alias("previous"),
-        _retries().alias("hops"),
-        F.col("timestamp").alias("at"),
-    )
-    for stage in stages:
-        here = failing & (F.col("final_topic") == stage.topic)
-        target, _ = _next_hop([stage], dlq, F.lit(stage.topic))
-        cur = cur.withColumns(
-            {
-                "final_topic": F.when(here, target).otherwise(F.col("final_topic")),
-                "previous": F.when(here, F.lit(stage.topic)).otherwise(F.col("previous")),
-                "hops": F.col("hops") + here.cast("int"),
-                "at": F.when(here, F.col("at") + F.expr(f"interval {stage.delay_s} seconds")).otherwise(F.col("at")),
-            }
-        )
-    headers = put_headers("headers", _failure_headers(F.col("previous"), F.col("hops"), F.col("at"), True))
-    return (
-        cur.withColumn("headers", F.when(failing, headers).otherwise(F.col("headers")))
-        .withColumn("outcome", F.when(failing, "dlq").otherwise("ok"))
-        .drop("previous", "hops")
+        "at",
     )
 
 
