@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -144,15 +143,14 @@ class SagaProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("saga", SAGA_STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        messages = pd.concat(list(rows)).sort_values("seq")
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         current = dict(zip(SAGA_STATE.fieldNames(), self.state.get())) if self.state.exists() else None
-        for m in messages.itertuples():
+        for m in sorted(rows, key=lambda r: r.seq):
             current = apply_message(current, m)
         if current is None:
             return
         self.state.update(tuple(current.values()))
-        yield pd.DataFrame([{"saga_id": key[0], **current}])
+        yield Row(saga_id=key[0], **current)
 
     def close(self) -> None:
         pass
@@ -187,6 +185,6 @@ def apply_message(current: dict | None, m) -> dict | None:
 def saga_orchestrator_stream(messages: DataFrame) -> DataFrame:
     """Keyed state per saga in the RocksDB store; emits the state row of every saga a batch touches."""
     use_rocksdb_state(messages.sparkSession)
-    return messages.groupBy("saga_id").transformWithStateInPandas(
+    return messages.groupBy("saga_id").transformWithState(
         statefulProcessor=SagaProcessor(), outputStructType=SAGA_OUTPUT, outputMode="Update", timeMode="None"
     )
