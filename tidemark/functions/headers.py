@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def bound(value: Column, fn) -> Column:
-    """``fn`` of a value that is computed once, however often ``fn`` uses it."""
-    return F.get(F.transform(F.array(value), fn), F.lit(0))
+from .binding import bound
 
 
 def header_list(pairs: dict[str, Column]) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.binding import with_once
 from ..schema import cdc_envelope
 from ..sources.rules import RULES, RuleSet
 from .records import OPERATIONS, lookup
@@ -16,7 +17,7 @@ TABLE_PREFIX = "cdc.public."
 def parse_cdc(df: DataFrame, image: T.StructType) -> DataFrame:
     """Add the parsed envelope ``e`` and ``kind``: record, tombstone (null value) or error (bad JSON)."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    parsed = df.withColumn("e", F.from_json("value", cdc_envelope(image), options))
+    parsed = with_once(df, "e", F.from_json("value", cdc_envelope(image), options))
     kind = (
         F.when(F.col("value").isNull(), "tombstone")
         .when(F.col("e._corrupt").isNotNull() | F.col("e").isNull(), "error")

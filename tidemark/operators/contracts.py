@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.binding import with_once
 from ..functions.binary import (
     avro_long_len,
     avro_string_len,
@@ -71,7 +72,9 @@ def wire_header(value: str = "value") -> dict[str, Column]:
 def wire_header_audit(log: DataFrame) -> DataFrame:
     """Records, bytes and payload bytes per schema id and per kind of error."""
     parts = wire_header()
-    rows = log.select(F.octet_length("value").cast("long").alias("size"), *[c.alias(n) for n, c in parts.items()])
+    rows = with_once(log, "__w", F.struct(*[c.alias(n) for n, c in parts.items()])).select(
+        F.octet_length("value").cast("long").alias("size"), "__w.*"
+    )
     return rows.groupBy("schema_id", "error").agg(
         F.count("*").alias("records"), F.sum("size").alias("bytes"), F.sum("payload_bytes").alias("payload_bytes")
     )
@@ -136,7 +139,7 @@ def project_schema(df: DataFrame, fields: dict[str, str], payload: str = "payloa
     defaults = {"string": F.lit(""), "bigint": F.lit(0).cast("long")}
     row = F.from_json(payload, ", ".join(f"{n} {t}" for n, t in fields.items()))
     unknown = F.array_sort(F.array_except(F.json_object_keys(payload), F.array(*[F.lit(n) for n in fields])))
-    base = df.withColumn("__row", row)
+    base = with_once(df, "__row", row)
     rest = [c for c in df.columns if c != payload]
     return base.select(
         *rest,

@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import bound, with_once
 from ..functions.headers import header, put_headers
 from ..functions.names import backoff, record_coord
 from ..schema import PAYMENT
@@ -47,23 +48,27 @@ ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 def classify_payment(value: str | Column = "value") -> Column:
     """Struct of ``cls`` (ok, transient, permanent) and ``message`` for a payment text."""
     column = F.col(value) if isinstance(value, str) else value
-    p = F.from_json(column, PAYMENT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    bad = p["_corrupt"].isNotNull() | p.isNull()
-    mode, ident = p["mode"], F.coalesce(p["id"], F.lit(""))
-    cls = (
-        F.when(bad, "permanent")
-        .when(mode == "ok", "ok")
-        .when(mode == "transient", "transient")
-        .otherwise("permanent")
-    )
-    message = (
-        F.when(bad, "invalid json")
-        .when(mode == "ok", F.lit(None))
-        .when(mode == "transient", F.concat(F.lit('transient downstream blip on payment id="'), ident, F.lit('"')))
-        .when(mode == "permanent", F.concat(F.lit('payment id="'), ident, F.lit('" rejected by domain rules')))
-        .otherwise(F.concat(F.lit('unknown mode: "'), F.coalesce(mode, F.lit("")), F.lit('"')))
-    )
-    return F.struct(cls.alias("cls"), message.alias("message"))
+    parsed = F.from_json(column, PAYMENT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+
+    def judge(p: Column) -> Column:
+        bad = p["_corrupt"].isNotNull() | p.isNull()
+        mode, ident = p["mode"], F.coalesce(p["id"], F.lit(""))
+        cls = (
+            F.when(bad, "permanent")
+            .when(mode == "ok", "ok")
+            .when(mode == "transient", "transient")
+            .otherwise("permanent")
+        )
+        message = (
+            F.when(bad, "invalid json")
+            .when(mode == "ok", F.lit(None))
+            .when(mode == "transient", F.concat(F.lit('transient downstream blip on payment id="'), ident, F.lit('"')))
+            .when(mode == "permanent", F.concat(F.lit('payment id="'), ident, F.lit('" rejected by domain rules')))
+            .otherwise(F.concat(F.lit('unknown mode: "'), F.coalesce(mode, F.lit("")), F.lit('"')))
+        )
+        return F.struct(cls.alias("cls"), message.alias("message"))
+
+    return bound(parsed, judge)
 
 
 # Handlers by name: value column to a struct of cls and message.
@@ -77,7 +82,7 @@ def register_handler(name: str, fn: Callable[[Column], Column]) -> None:
 
 def handled(df: DataFrame, handler: str = "payment") -> DataFrame:
     """Add ``cls`` and ``message`` by the named handler."""
-    return df.withColumn("__h", HANDLERS[handler](F.col("value"))).select(
+    return with_once(df, "__h", HANDLERS[handler](F.col("value"))).select(
         *df.columns, F.col("__h.cls").alias("cls"), F.col("__h.message").alias("message")
     )
 

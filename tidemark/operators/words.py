@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import unicodedata
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.binary import decode_u64
+from ..functions.binding import with_once
 from ..functions.text import analyze_text, tokenize
 from .running import running
 
@@ -23,8 +26,6 @@ def word_count(docs: DataFrame) -> DataFrame:
 
 def top_n_words(counts: DataFrame, n: int) -> DataFrame:
     """Highest counts, ties by word in byte order, with rank. The rank runs over n rows."""
-    from pyspark.sql import Window
-
     top = counts.orderBy(F.desc("n"), F.asc("word")).limit(n)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), F.asc("word"))).cast("long"))
 
@@ -69,8 +70,6 @@ K1, B = 1.2, 0.75
 
 def query_terms(query: str) -> list[str]:
     """Distinct analyzed terms of a query text; the text is a parameter, not data."""
-    import unicodedata
-
     folded = unicodedata.normalize("NFKD", query.lower())
     text = "".join(c for c in folded if not unicodedata.combining(c))
     terms = "".join(c if c.isalnum() else " " for c in text).split()
@@ -85,13 +84,11 @@ def match_top_k(docs: DataFrame, query: str, k: int, ident: str = "doc_id") -> D
     """
     terms = query_terms(query)
 
-    def occurrences(tokens: Column, term: str) -> Column:
-        return F.size(F.filter(tokens, lambda w: w == term))
+    def occurrences(term: str) -> Column:
+        return F.size("ws") - F.size(F.array_remove("ws", term))
 
-    analyzed = docs.select(ident, analyze_text("text").alias("ws"))
-    freq = analyzed.select(
-        ident, F.size("ws").alias("len"), *[occurrences(F.col("ws"), t).alias(f"tf{i}") for i, t in enumerate(terms)]
-    )
+    analyzed = with_once(docs.select(ident, "text"), "ws", analyze_text("text"))
+    freq = analyzed.select(ident, F.size("ws").alias("len"), *[occurrences(t).alias(f"tf{i}") for i, t in enumerate(terms)])
     corpus = freq.agg(
         F.count("*").alias("n"),
         F.avg("len").alias("avg_len"),

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.running import row_numbers
+from ..session import spread
 from .formulas import (
     CDC_STEPS,
     CDCP_STEPS,
@@ -360,6 +361,11 @@ class Tables:
             "cast(o_orderdate AS timestamp) AS created_at",
         )
 
+    @cached_property
+    def spread_orders(self) -> DataFrame:
+        """Orders for the views that build or parse a text per row."""
+        return spread(self.table("orders"))
+
     @cached_property
     def ord(self) -> DataFrame:
         return self.as_ord(self.table("orders"))
@@ -412,7 +418,8 @@ class Tables:
     def conn(self) -> DataFrame:
         copies = F.explode(F.when(F.col("k") % 6 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
         return (
-            self.ord.select("*", copies.alias("copy"))
+            self.as_ord(self.spread_orders)
+            .select("*", copies.alias("copy"))
             .selectExpr(
                 "'orders-json' AS topic",
                 "cast(k % 3 AS int) AS partition",
@@ -459,7 +466,7 @@ class Tables:
 
     @cached_property
     def pay(self) -> DataFrame:
-        return self.as_pay(self.table("orders"))
+        return self.as_pay(self.spread_orders)
 
     @cached_property
     def upload(self) -> DataFrame:
@@ -518,7 +525,7 @@ class Tables:
 
     @cached_property
     def sagacmd(self) -> DataFrame:
-        return self.as_sagacmd(self.table("orders"))
+        return self.as_sagacmd(self.spread_orders)
 
     @cached_property
     def ordn_items(self) -> DataFrame:
@@ -538,4 +545,4 @@ class Tables:
 
     @cached_property
     def docs(self) -> DataFrame:
-        return self.as_docs(self.table("documents"))
+        return self.as_docs(spread(self.table("documents").select("doc_id", "text")))
