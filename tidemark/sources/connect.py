@@ -11,7 +11,15 @@ from ..functions.binding import bound, with_once
 # Carried type names and the column types they stand for.
 CONNECT_TYPES = {"int64": T.LongType(), "string": T.StringType(), "double": T.DoubleType()}
 
-FIELDS = T.ArrayType(T.StructType.fromDDL("type string, optional boolean, field string"))
+FIELDS = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("type", T.StringType()),
+            T.StructField("optional", T.BooleanType()),
+            T.StructField("field", T.StringType()),
+        ]
+    )
+)
 
 
 def unwrap_connect_json(df: DataFrame, fields: dict[str, str]) -> DataFrame:
