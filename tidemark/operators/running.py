@@ -1,9 +1,10 @@
 """Running counts, sums and maxima over groups of any size.
 
 A plain window puts a whole group into one task. Here a group is cut into
-chunks of the order column, every chunk is scanned on its own, and the totals
-of the earlier chunks (one small row per group and chunk) are added. The order
-column must be an integer; with a unique one a chunk holds at most 2**bits rows.
+chunks of the order column. The totals of the earlier chunks enter each chunk
+as one extra row in front, and every chunk is scanned on its own. The rows are
+shuffled once and nothing is joined. The order column must be an integer; with
+a unique one a chunk holds at most 2**bits rows.
 """
 
 from __future__ import annotations
@@ -33,18 +34,16 @@ def running(
     """Add running aggregates per ``group`` in ``order``.
 
     ``specs`` maps an output column to ``(kind, value)`` with kind ``count``,
-    ``sum`` or ``max``. ``lead`` names order columns that come before the
-    chunked one and are few (a partition number). ``exclusive`` leaves the
-    current row out; a count or sum is then 0 and a max null on the first row.
+    ``sum`` or ``max`` up to the row, or ``total`` for the sum of the whole
+    group. ``lead`` names order columns that come before the chunked one and
+    are few (a partition number). ``exclusive`` leaves the current row out; a
+    count or sum is then 0 and a max null on the first row.
     """
-    lead = lead or []
-    inputs = {}
-    for i, (name, (kind, value)) in enumerate(specs.items()):
-        inputs[name] = (kind, f"__v{i}", F.lit(1).cast("long") if kind == "count" else value)
-    base_df = df.select(
-        "*", chunk_of(order[0], bits).alias("__chunk"), *[v.alias(c) for _, c, v in inputs.values()]
-    )
-    keys = [*group, *lead, "__chunk"]
+    keys = [*group, *(lead or []), "__chunk"]
+    inputs = [
+        (name, kind, f"__v{i}", F.lit(1).cast("long") if kind == "count" else value)
+        for i, (name, (kind, value)) in enumerate(specs.items())
+    ]
 
     def directed(names):
         return [F.col(n).desc() if descending else F.col(n).asc() for n in names]
@@ -52,30 +51,29 @@ def running(
     def aggregate(kind, column):
         return F.max(column) if kind == "max" else F.sum(column)
 
-    totals = base_df.groupBy(*keys).agg(*[aggregate(k, c).alias(c) for k, c, _ in inputs.values()])
-    earlier = (
-        Window.partitionBy(*group).orderBy(*directed([*lead, "__chunk"])).rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.select(
+        "*", chunk_of(order[0], bits).alias("__chunk"), F.lit(1).alias("__row"), *[v.alias(c) for _, _, c, v in inputs]
     )
-    bases = totals.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        *[aggregate(k, c).over(earlier).alias(f"{c}_base") for k, c, _ in inputs.values()],
+    totals = rows.groupBy(*keys).agg(*[aggregate(k, c).alias(c) for _, k, c, _ in inputs])
+    earlier = Window.partitionBy(*group).orderBy(*directed(keys[len(group) :])).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
+    heads = totals.select(
+        *keys,
+        F.lit(0).alias("__row"),
+        *[aggregate(k, c).over(whole if k == "total" else earlier).alias(c) for _, k, c, _ in inputs],
     )
     last = -1 if exclusive else Window.currentRow
-    local = Window.partitionBy(*keys).orderBy(*directed(order)).rowsBetween(Window.unboundedPreceding, last)
-    scanned = base_df.select(
-        *[c for c in base_df.columns if not c.startswith("__v")],
-        *[aggregate(k, c).over(local).alias(f"{c}_local") for k, c, _ in inputs.values()],
-    )
-    on = [scanned[k].eqNullSafe(bases[f"__k{i}"]) for i, k in enumerate(keys)]
-    joined = scanned.join(bases, on, "inner")
+    scan = Window.partitionBy(*keys).orderBy("__row", *directed(order)).rowsBetween(Window.unboundedPreceding, last)
     outs = []
-    for name, (kind, c, _) in inputs.items():
-        part, base = F.col(f"{c}_local"), F.col(f"{c}_base")
-        if kind == "max":
-            outs.append(F.greatest(part, base).alias(name))
+    for name, kind, c, _ in inputs:
+        if kind == "total":
+            outs.append(F.first(c).over(scan).alias(name))
+        elif kind == "max":
+            outs.append(F.max(c).over(scan).alias(name))
         else:
-            outs.append((F.coalesce(part, F.lit(0)) + F.coalesce(base, F.lit(0))).alias(name))
-    return joined.select(*[scanned[c] for c in df.columns], *outs)
+            outs.append(F.coalesce(F.sum(c).over(scan), F.lit(0)).alias(name))
+    both = rows.unionByName(heads, allowMissingColumns=True)
+    return both.select(*df.columns, "__row", *outs).filter("__row = 1").drop("__row")
 
 
 def row_numbers(

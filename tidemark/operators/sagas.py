@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .running import running
+
 # Terminal events of the choreography.
 TERMINAL = ["shipment.scheduled", "payment.failed", "payment.refunded"]
 
@@ -52,16 +54,21 @@ FAILURE_PREFIX = {
 ID_OF = {"payment_id": "AUTHORIZE", "reservation_id": "RESERVE", "shipment_id": "SCHEDULE"}
 
 
+# Events per row of a timeline; a longer saga takes several rows.
+PART_BITS = 10
+
+
 def saga_timeline(events: DataFrame) -> DataFrame:
-    """Ordered chain, last event and terminal flag per saga.
+    """Ordered chain, last event and terminal flag per saga and part.
 
-    The chain is one cell of the result, so a saga must fit into one row; the
-    other columns are plain aggregates.
+    A part holds up to 1024 consecutive events, so a saga of any length is
+    written out whole and no cell grows without bound; nearly all sagas have
+    the part 0 only.
     """
-    chain = F.array_sort(F.collect_list(F.struct("ts", "seq", "event")))
-    out = events.groupBy("saga_id").agg(
+    chain = F.array_sort(F.collect_list(F.struct("seq", "event")))
+    out = events.groupBy("saga_id", F.shiftright("seq", PART_BITS).alias("part")).agg(
         F.array_join(F.transform(chain, lambda e: e["event"]), " → ").alias("chain"),
-        F.max_by("event", F.struct("ts", "seq")).alias("last_event"),
+        F.max_by("event", "seq").alias("last_event"),
         F.count("*").alias("events"),
     )
     return out.withColumn("terminal", F.col("last_event").isin(TERMINAL))
@@ -138,17 +145,18 @@ def saga_orchestrator(messages: DataFrame) -> DataFrame:
     are not guarded, so the last message decides step and status; an id or
     reason stays until a later message brings another one.
     """
-    placed = messages.filter("kind = 'place-order'").groupBy("saga_id").agg(
-        F.min_by(F.struct("seq", "customer_id", "amount_cents"), "seq").alias("p")
-    )
-    opened = messages.join(placed, "saga_id").filter(
-        "seq = p.seq AND kind = 'place-order' OR seq > p.seq AND kind <> 'place-order'"
+    opening = F.col("kind") == "place-order"
+    # How many place-orders came so far, counted in chunks so that a long saga stays spread.
+    counted = running(messages, ["saga_id"], ["seq"], {"placed": ("sum", opening.cast("long"))})
+    acted = (
+        counted.filter((opening & (F.col("placed") == 1)) | (~opening & (F.col("placed") > 0)))
+        .select(
+            "saga_id", "seq", "kind", "action", "ok", "id", "customer_id", "amount_cents",
+            _effect(0).alias("step"), _effect(1).alias("status"), _effect(2).alias("event"), _effect(3).alias("command"),
+            _failure().alias("failure"),
+        )
+        .filter("step IS NOT NULL")
     )
-    acted = opened.select(
-        "saga_id", "seq", "kind", "action", "ok", "id", "p",
-        _effect(0).alias("step"), _effect(1).alias("status"), _effect(2).alias("event"), _effect(3).alias("command"),
-        _failure().alias("failure"),
-    ).filter("step IS NOT NULL")
 
     def last(value: Column, condition: Column) -> Column:
         return F.max_by(value, F.when(condition, F.col("seq")))
@@ -158,8 +166,8 @@ def saga_orchestrator(messages: DataFrame) -> DataFrame:
     ]
     refunded = F.max((F.col("action") == "REFUND") & F.col("ok"))
     return acted.groupBy("saga_id").agg(
-        F.first("p.customer_id").alias("customer_id"),
-        F.first("p.amount_cents").alias("amount_cents"),
+        F.min_by("customer_id", "seq").alias("customer_id"),
+        F.min_by("amount_cents", "seq").alias("amount_cents"),
         F.max_by("step", "seq").alias("step"),
         F.max_by("status", "seq").alias("status"),
         F.max_by("event", "seq").alias("last_event"),

@@ -186,9 +186,8 @@ def index_percentiles(
     chunks, so neither a large group nor a wide value range meets in one task.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("n"))
-    ranked = running(counts, group, [value], {"upto": ("sum", F.col("n"))}, bits=bits)
-    totals = counts.groupBy(*group).agg(F.sum("n").alias("total"))
-    placed = ranked.join(totals, group)
+    specs = {"upto": ("sum", F.col("n")), "total": ("total", F.col("n"))}
+    placed = running(counts, group, [value], specs, bits=bits)
     picks = []
     for name, p in points.items():
         index = F.floor((F.col("total") - 1) * F.lit(p))

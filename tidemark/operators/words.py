@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.binary import decode_u64
 from ..functions.binding import with_once
 from ..functions.text import analyze_text, tokenize
+from ..session import cut_lineage
 from .running import running
 
 
@@ -80,7 +81,7 @@ def match_top_k(docs: DataFrame, query: str, k: int, ident: str = "doc_id") -> D
     """Best k documents by BM25 for any term of the query, ties by id.
 
     Term frequencies and lengths are taken per document without exploding the
-    text; the corpus figures are one row, read as scalar subqueries.
+    text; the corpus figures are one row, read as a scalar subquery.
     """
     terms = query_terms(query)
 
@@ -89,6 +90,8 @@ def match_top_k(docs: DataFrame, query: str, k: int, ident: str = "doc_id") -> D
 
     analyzed = with_once(docs.select(ident, "text"), "ws", analyze_text("text"))
     freq = analyzed.select(ident, F.size("ws").alias("len"), *[occurrences(t).alias(f"tf{i}") for i, t in enumerate(terms)])
+    # The texts are read once; what the score needs is a few numbers per document.
+    freq = cut_lineage(freq, "term-counts")
     corpus = freq.agg(
         F.count("*").alias("n"),
         F.avg("len").alias("avg_len"),

@@ -329,6 +329,17 @@ def _(t):
     )
 
 
+@query(
+    "n02_premium_partition",
+    """SELECT CASE WHEN starts_with(key, 'prem-') THEN 0 WHEN (rk - 1) % 2 = 0 THEN 1 ELSE 2 END AS "partition", count(*) AS records,
+              count(DISTINCT key) AS keys
+       FROM (SELECT *, sum(CASE WHEN starts_with(key, 'prem-') THEN 0 ELSE 1 END) OVER (ORDER BY seq) AS rk FROM v_keys) GROUP BY 1""",
+)
+def _(t):
+    per_key = logs.round_robin(t.keys, 3).groupBy("partition", "key").agg(F.count("*").alias("n"))
+    return per_key.groupBy("partition").agg(F.sum("n").alias("records"), F.count("*").alias("keys"))
+
+
 @query(
     "n04_worker_load",
     f"""SELECT worker, n AS delta, round(n / sum(n) OVER () * 100, 6) AS share_pct, floor(n / max(n) OVER () * 40)::BIGINT AS bar,

@@ -50,8 +50,8 @@ TERMINAL = "('shipment.scheduled', 'payment.failed', 'payment.refunded')"
 
 @query(
     "w10_saga_timeline",
-    f"""SELECT saga_id, string_agg(event, ' → ' ORDER BY ts, seq) AS chain, arg_max(event, seq) AS last_event, count(*) AS events,
-               arg_max(event, seq) IN {TERMINAL} AS terminal FROM v_saga GROUP BY saga_id""",
+    f"""SELECT saga_id, seq >> 10 AS part, string_agg(event, ' → ' ORDER BY seq) AS chain, arg_max(event, seq) AS last_event, count(*) AS events,
+               arg_max(event, seq) IN {TERMINAL} AS terminal FROM v_saga GROUP BY saga_id, part""",
 )
 def _(t):
     return sagas.saga_timeline(t.saga)

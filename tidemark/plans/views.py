@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.running import row_numbers
-from ..session import spread
+from ..session import cut_lineage, spread
 from .formulas import (
     CDC_STEPS,
     CDCP_STEPS,
@@ -112,6 +112,15 @@ class Tables:
 
     @cached_property
     def offs(self) -> DataFrame:
+        """Group offsets, stored as the small table they are on a cluster.
+
+        Read back, its size is known from the files, so the planner broadcasts
+        it below its threshold and shuffles beyond.
+        """
+        return cut_lineage(self.offs_rows, "offsets")
+
+    @cached_property
+    def offs_rows(self) -> DataFrame:
         groups = self.ends.select(
             "*", F.explode(F.array(F.lit("g1"), F.lit("g2"))).alias("group_id")
         ).filter("group_id = 'g1' or partition < 3")

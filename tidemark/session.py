@@ -61,6 +61,18 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def size_shuffles(spark: SparkSession, shuffled_bytes: int, target_bytes: int = 128 << 20) -> int:
+    """Shuffle partitions for an amount of shuffled data, so that one fits into a task's memory.
+
+    Call it before a large job. AQE merges partitions that turn out small but
+    never makes more of them, so the starting number has to be high enough.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, -(-shuffled_bytes // target_bytes))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return wanted
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores where the input has fewer splits than there are.
 

@@ -79,10 +79,17 @@ def bounded_read(df: DataFrame, ends: DataFrame) -> DataFrame:
     return df.join(known, ["topic", "partition"], "inner").filter(F.col("offset") < F.col("__end")).drop("__end")
 
 
-def write_log(df: DataFrame, path: str) -> DataFrame:
-    """Append records below one folder per topic; returns records per topic and partition in the log."""
+def write_log(df: DataFrame, path: str, rebalance: bool = False) -> DataFrame:
+    """Append records below one folder per topic; returns records per topic and partition in the log.
+
+    With ``rebalance`` rows are first gathered by topic into files of an even
+    size; AQE splits the large topics. Without it every task writes its own files.
+    """
     columns = [f.name for f in RECORD.fields]
-    df.select(*columns).write.mode("append").partitionBy("topic").parquet(path)
+    rows = df.select(*columns)
+    if rebalance:
+        rows = rows.hint("rebalance", "topic")
+    rows.write.mode("append").partitionBy("topic").parquet(path)
     return read_log(df.sparkSession, path).groupBy("topic", "partition").agg(F.count("*").alias("records"))
 
 

@@ -51,8 +51,8 @@ def load_rules(salt: str, rows: Iterable[tuple[str, str, str | None, str | None]
     return RuleSet(salt, tables)
 
 
-# Salt, target topics and field rules of the analytics feed.
-ANALYTICS_SALT = "usecase-09-03-salt"
+# Target topics and field rules of the analytics feed. The salt is a parameter of the installation.
+ANALYTICS_SALT = "analytics-salt"
 ANALYTICS_ROWS = [
     ("users", "analytics.users", "email", "hash"),
     ("users", "analytics.users", "phone", "hash"),
