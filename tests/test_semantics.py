@@ -165,11 +165,12 @@ def test_index_percentiles_use_the_lower_index(spark):
         assert r.p99 == xs[int((len(xs) - 1) * 0.99)]
 
 
-def test_moving_window(spark):
+@pytest.mark.parametrize("bits", [20, 26, 40])
+def test_moving_window(spark, bits):
     rnd = random.Random(6)
     data = [(i, "hot" if rnd.random() < 0.4 else f"u{rnd.randrange(4)}", ts(rnd.randrange(20000)), rnd.randrange(9)) for i in range(400)]
     df = spark.createDataFrame(data, "id long, u string, t timestamp, v long")
-    got = {r.id: (r.n, r.total) for r in windows.moving_window(df, 600, "u", "t", "v").collect()}
+    got = {r.id: (r.n, r.total) for r in windows.moving_window(df, 600, "u", "t", "v", bits=bits).collect()}
     for i, u, t, _ in data:
         inside = [x for x in data if x[1] == u and t - timedelta(seconds=600) <= x[2] <= t]
         assert got[i] == (len(inside), sum(x[3] for x in inside))

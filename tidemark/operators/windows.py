@@ -124,22 +124,32 @@ def late_split(events: DataFrame, size_s: int, tolerance_s: int, policy: str = "
     return out.filter("arrived_late" if policy == "side" else "NOT arrived_late")
 
 
-def moving_window(events: DataFrame, size_s: int, group: str, time: str, value: str) -> DataFrame:
+def moving_window(
+    events: DataFrame, size_s: int, group: str, time: str, value: str, bits: int = 26
+) -> DataFrame:
     """Count and sum over the ``size_s`` seconds up to and including each row.
 
-    A window reaches at most into the previous time bucket of the same length,
-    so every row is placed in its own and in the next bucket and each bucket of
-    a group is scanned alone. A busy group is spread over its buckets.
+    The window of a row is what has come up to its time less what had come
+    before the window opened. Both are read off one running sum over the
+    distinct times and the opening times, cut into chunks of time (2**26
+    microseconds are about a minute), so neither a busy group nor a long window
+    meets in one task.
     """
-    seconds = events.withColumn("__t", F.unix_micros(time))
-    size = size_s * 1_000_000
-    bucket = F.floor(F.col("__t") / size).cast("long")
-    placed = seconds.withColumn("__home", bucket).withColumn(
-        "__bucket", F.explode(F.array(F.col("__home"), F.col("__home") + 1))
+    timed = events.withColumn("__t", F.unix_micros(time))
+    per_time = timed.groupBy(group, "__t").agg(F.count("*").alias("n"), F.sum(value).alias("v"))
+    zero = F.lit(0).cast("long")
+    ends = per_time.select(group, "__t", F.col("__t").alias("at"), F.lit(0).alias("opens"), "n", "v")
+    opens = per_time.select(
+        group, "__t", (F.col("__t") - size_s * 1_000_000 - 1).alias("at"), F.lit(1).alias("opens"),
+        zero.alias("n"), zero.alias("v"),
+    )
+    sums = {"upto_n": ("sum", F.col("n")), "upto_v": ("sum", F.col("v"))}
+    read = running(ends.unionByName(opens), [group], ["at", "opens"], sums, bits=bits)
+    sign = F.when(F.col("opens") == 1, F.lit(-1)).otherwise(F.lit(1))
+    result = read.groupBy(group, "__t").agg(
+        F.sum(sign * F.col("upto_n")).alias("n"), F.sum(sign * F.col("upto_v")).alias("total")
     )
-    w = Window.partitionBy(group, "__bucket").orderBy("__t").rangeBetween(-size, Window.currentRow)
-    out = placed.withColumn("n", F.count("*").over(w)).withColumn("total", F.sum(value).over(w))
-    return out.filter("__home = __bucket").select(*events.columns, "n", "total")
+    return timed.join(result, [group, "__t"], "left").select(*events.columns, "n", "total")
 
 
 def rate_table(events: DataFrame, every: str, produced: str, consumed: str) -> DataFrame:

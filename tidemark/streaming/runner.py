@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,16 +13,34 @@ from ..operators.joins import last_per_key
 from ..session import work_dir
 
 
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """On a local master, start a query with no more state partitions than cores.
+
+    Their number is fixed by the first start of a checkpoint. On a cluster the
+    session's setting stands, since cores may still be joining.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def append_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append-mode stream into a parquet table; the sink's own log makes it exactly once."""
-    return (
+    writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    with state_partitions(stream.sparkSession):
+        return writer.start()
 
 
 def write_batch(path: str) -> Callable[[DataFrame, int], None]:
@@ -36,13 +55,14 @@ def write_batch(path: str) -> Callable[[DataFrame, int], None]:
 def batch_table(
     stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
 ) -> StreamingQuery:
-    return (
+    writer = (
         stream.writeStream.outputMode(mode)
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    with state_partitions(stream.sparkSession):
+        return writer.start()
 
 
 def finish(query: StreamingQuery) -> StreamingQuery:
