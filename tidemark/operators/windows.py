@@ -125,14 +125,14 @@ def late_split(events: DataFrame, size_s: int, tolerance_s: int, policy: str = "
 
 
 def moving_window(
-    events: DataFrame, size_s: int, group: str, time: str, value: str, bits: int = 26
+    events: DataFrame, size_s: int, group: str, time: str, value: str, bits: int = 28
 ) -> DataFrame:
     """Count and sum over the ``size_s`` seconds up to and including each row.
 
     The window of a row is what has come up to its time less what had come
     before the window opened. Both are read off one running sum over the
-    distinct times and the opening times, cut into chunks of time (2**26
-    microseconds are about a minute), so neither a busy group nor a long window
+    distinct times and the opening times, cut into chunks of time (2**28
+    microseconds are about four minutes), so neither a busy group nor a long window
     meets in one task.
     """
     timed = events.withColumn("__t", F.unix_micros(time))

@@ -9,7 +9,6 @@ from ..functions.names import timestamp_text
 from ..operators import contracts, joins, quality, records
 from ..sources import outbox as ob
 from ..sources import sinks
-from .q_cdc import CONN_FIELDS
 from .registry import query
 
 FMT = "strftime({0}, '%Y-%m-%d %H:%M:%S')"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..functions.hashing import hmac_pads, key_partition, worker_for
+from ..functions.hashing import hmac_pads
 from ..functions.headers import format_headers, header, headers_map, set_header
 from ..functions.names import timestamp_text
 from ..operators import records

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..functions.names import timestamp_text
 from ..operators import sagas, transactions
 from .registry import query
