@@ -131,19 +131,18 @@ def _(t):
     seen = t.ordv.select(F.explode(F.json_object_keys("payload")).alias("name")).groupBy("name").agg(
         F.count("*").alias("observed")
     )
-    out = None
+    changes = None
     for old, new in ((1, 2), (2, 3), (3, 4)):
-        changes = contracts.schema_compat(declared.filter(F.col("version") == old), declared.filter(F.col("version") == new))
-        modes = changes.agg(
-            *[
-                contracts.compat_verdict(changes, mode).alias(name)
-                for mode, name in (("BACKWARD", "backward"), ("FORWARD", "forward"), ("FULL", "full_mode"))
-            ]
-        )
-        pair = changes.withColumn("pair", F.lit(f"{old}->{new}")).join(
-            modes.withColumn("pair", F.lit(f"{old}->{new}")), "pair"
-        )
-        out = pair if out is None else out.unionByName(pair)
+        versions = [declared.filter(F.col("version") == v) for v in (old, new)]
+        one = contracts.schema_compat(*versions).withColumn("pair", F.lit(f"{old}->{new}"))
+        changes = one if changes is None else changes.unionByName(one)
+    verdicts = changes.groupBy("pair").agg(
+        *[
+            contracts.compat_verdict(mode).alias(name)
+            for mode, name in (("BACKWARD", "backward"), ("FORWARD", "forward"), ("FULL", "full_mode"))
+        ]
+    )
+    out = changes.join(verdicts, "pair")
     return out.join(seen, "name", "left").withColumn("observed", F.coalesce("observed", F.lit(0)))
 
 
