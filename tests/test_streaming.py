@@ -212,3 +212,10 @@ def test_log_round_trip_and_rate_limit(spark, tables, tmp_path):
     )
     rows = jobs.progress_lag(done, 10**6)
     assert len(rows) >= 2 and rows[-1][2] == spark.read.parquet(str(tmp_path / "o")).count()
+
+
+def test_stream_of_a_table_in_many_files(spark, tables, tmp_path):
+    tables.table("events").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    out = runner.appended(Tables(spark, str(tmp_path)).stream("events").select("event_id"), "many")
+    assert out.count() == tables.table("events").count()
+    assert runner.appended(tables.stream("events").select("event_id"), "one").count() == out.count()

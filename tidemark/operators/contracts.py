@@ -150,8 +150,8 @@ def project_schema(df: DataFrame, fields: dict[str, str], payload: str = "payloa
 
 def schema_fields(spark: SparkSession) -> DataFrame:
     """The declared versions as rows; their number is fixed above."""
-    rows = [(v, n, name, t) for v, fields in ORDER_VERSIONS.items() for n, name, t in fields]
-    return spark.createDataFrame(rows, "version int, number int, name string, type string")
+    rows = ", ".join(f"({v}, {n}, '{name}', '{t}')" for v, fields in ORDER_VERSIONS.items() for n, name, t in fields)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS v(version, number, name, type)")
 
 
 def schema_compat(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -168,8 +168,8 @@ def setting_text(setting: Column, value: Column) -> Column:
 
 def profile_rows(spark: SparkSession) -> DataFrame:
     """The profiles as rows; their number is fixed above."""
-    rows = [(p, s, v) for p, settings in PROFILES.items() for s, v in settings.items()]
-    return spark.createDataFrame(rows, "profile string, setting string, value string")
+    rows = ", ".join(f"('{p}', '{s}', '{v}')" for p, settings in PROFILES.items() for s, v in settings.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS v(profile, setting, value)")
 
 
 def profile_table(profiles: DataFrame) -> DataFrame:

@@ -44,11 +44,8 @@ class Tables:
     def stream(self, name: str) -> DataFrame:
         """The table as a file stream."""
         schema = self.table(name).schema
-        return (
-            self.spark.readStream.schema(schema)
-            .option("pathGlobFilter", f"{name}.parquet")
-            .parquet(f"{self.sf_dir}/")
-        )
+        # A pattern matches the table as one file and as a folder of files.
+        return self.spark.readStream.schema(schema).parquet(f"{self.sf_dir}/{name}.parque[t]")
 
     # events -----------------------------------------------------------------
 
