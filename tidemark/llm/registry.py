@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import packing, wavelet
+from . import ann, attribution, language, mixing, packing, quality, secrets, toxicity, wavelet
 from .common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,18 +29,60 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every 20th id."""
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to wavelet files and read back."""
     return wavelet.encode_and_read(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@query
+def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the share of content lines of every document."""
+    return quality.line_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    return attribution.attributed_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+@query
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
