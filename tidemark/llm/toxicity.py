@@ -42,9 +42,12 @@ def places(text: str | None, bits: int) -> np.ndarray:
     return (mix64(np.concatenate([h, pairs + KINDS[1], skips + KINDS[2]])) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def fit(examples: list[tuple[np.ndarray, int]], bits: int, epochs: int = 3, alpha: float = 0.1, beta: float = 1.0,
-        l1: float = 2.0, l2: float = 1.0) -> Weights:
-    """FTRL-proximal over examples of distinct places and a label, in the given order, ``epochs`` times."""
+def fit(examples: list[tuple[np.ndarray, int]], bits: int, epochs: int = 8, alpha: float = 1.5, beta: float = 1.0,
+        l1: float = 8.0, l2: float = 0.02) -> Weights:
+    """FTRL-proximal over examples of distinct places and a label, in the given order, ``epochs`` times.
+
+    With ``l1`` at least ``epochs`` a feature of a single example keeps the weight zero.
+    """
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     share = np.mean([y for _, y in examples]) if examples else 0.0
     # The bias is free of L1 and starts at the log odds of the labels.
@@ -67,7 +70,7 @@ def fit(examples: list[tuple[np.ndarray, int]], bits: int, epochs: int = 3, alph
     return Weights(used, weight(z[used], n[used]), bias, bits)
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = 6000, bits: int = 20) -> Weights:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = 12_000, bits: int = 20) -> Weights:
     """Weights from a bounded sample: the ``sample`` labelled ids with the smallest hashes outside the held-out fold.
 
     An id with several labels counts as toxic if one of them says so, an id with several texts has the smallest.
@@ -88,7 +91,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 6000, bits: int = 20
 
     got = rows.mapInArrow(hashed, "doc_id long, h long, y int, places binary").collect()
     got = sorted(got, key=lambda r: (r.h, r.doc_id))
-    return fit([(np.frombuffer(r.places, "<u4").astype(np.int64), r.y) for r in got], bits)
+    return fit([(np.frombuffer(r.places, "<u4"), r.y) for r in got], bits)
 
 
 def score(docs: DataFrame, weights: Weights, threshold: float = 0.3) -> DataFrame:
@@ -118,7 +121,7 @@ def score(docs: DataFrame, weights: Weights, threshold: float = 0.3) -> DataFram
     return docs.mapInArrow(run, schema)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 6000) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every document; an empty table gives no rows.
 
     ``held_out`` marks the fold that is never learned from; a null id is in the fold of the text ''. Without labelled
