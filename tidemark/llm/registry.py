@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import ann, attribution, language, mixing, packing, quality, secrets, toxicity, wavelet
+from . import ann, attribution, jaccard, language, mixing, packing, quality, secrets, toxicity, wavelet
 from .common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,12 @@ def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.encode_and_read(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@query
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-copy components of all documents."""
+    return jaccard.similar_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and the share of content lines of every document."""
