@@ -71,14 +71,26 @@ def test_hash_field(spark):
 
 def test_truncate_name(spark):
     cases = {
-        "Иван Иванов": "Иван И.",
-        "Madonna": "Madonna",
-        "  Ann   Lee  Third ": "Ann L.",
+        "Иван Иванов": "ИванИ.",
+        "  Anna  Smith  ": "AnnaS.",
+        "Single": "Single",
         "": "",
         None: "",
+        "Anna\u00a0Smith": "AnnaS.",
+        "\t Anna": "Anna",
+        "\u3000Anna\u2003\u0085😀x": "Anna😀.",
+        " \u2028 ": "",
     }
     df = spark.createDataFrame([(k,) for k in cases], "v string")
     assert {r.v: r.t for r in df.select("v", names.truncate_name("v").alias("t")).collect()} == cases
+    names.sql_functions(spark)
+    assert {r.v: r.t for r in df.selectExpr("v", "truncate_name(v) t").collect()} == cases
+
+
+def test_backoff_stays_below_its_cap(spark):
+    got = spark.range(1, 70).select(names.backoff("id", 200, 5000).alias("d"), names.backoff("id", 7000, 5000).alias("e")).collect()
+    assert [r.d for r in got] == [min(5000, 200 * 2**k) for k in range(69)]
+    assert {r.e for r in got} == {5000}
 
 
 def test_tokenize_counts_bytes(spark):
@@ -158,4 +170,4 @@ def test_sql_functions(spark):
         "hash_field(null, 's') h, truncate_name('Ann Lee') n, record_coord('t', 1, 2) c"
     ).first()
     assert r.p == (murmur2(b"user-1") & 0x7FFFFFFF) % 6
-    assert (r.w, r.t, r.h, r.n, r.c) == (0, ["ab", "de"], "", "Ann L.", "t/1/2")
+    assert (r.w, r.t, r.h, r.n, r.c) == (0, ["ab", "de"], "", "AnnL.", "t/1/2")

@@ -9,6 +9,10 @@ from .hashing import key_partition_sql, worker_for_sql
 from .text import tokenize_sql
 
 PREMIUM_PREFIX = "prem-"
+# Unicode white space, as a class of both Spark's and the checking engine's patterns.
+BLANK = r"\x09-\x0D\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+FIRST_WORD = rf"^[{BLANK}]*([^{BLANK}]+)"
+SECOND_INITIAL = rf"^[{BLANK}]*[^{BLANK}]+[{BLANK}]+([^{BLANK}])"
 
 
 def _col(c: str | Column) -> Column:
@@ -16,12 +20,13 @@ def _col(c: str | Column) -> Column:
 
 
 def truncate_name(name: str | Column) -> Column:
-    """First word and the first letter of the second; a single word stays, null becomes empty."""
-    words = F.split(F.trim(_col(name)), "\\s+")
-    first = F.get(words, F.lit(0))
-    second = F.get(words, F.lit(1))
-    short = F.when(second.isNull(), first).otherwise(F.concat(first, F.lit(" "), F.substring(second, 1, 1), F.lit(".")))
-    return F.coalesce(short, F.lit(""))
+    """First word, then the first letter of the second and a dot; a single word stays, null becomes empty.
+
+    Words end at any Unicode white space.
+    """
+    first = F.regexp_extract(_col(name), FIRST_WORD, 1)
+    initial = F.regexp_extract(_col(name), SECOND_INITIAL, 1)
+    return F.coalesce(F.concat(first, F.when(initial != "", F.concat(initial, F.lit("."))).otherwise("")), F.lit(""))
 
 
 def record_coord(topic: str | Column, partition: str | Column, offset: str | Column, sep: str = "/") -> Column:
@@ -36,7 +41,11 @@ def short_id(identifier: str | Column) -> Column:
 
 def backoff(attempt: str | Column, base_ms: int, cap_ms: int | None = None) -> Column:
     """Delay before a retry: base doubled per attempt from 1 on, up to the cap."""
-    delay = F.lit(base_ms).cast("long") * F.pow(F.lit(2), _col(attempt) - 1).cast("long")
+    doublings = _col(attempt) - 1
+    if cap_ms:
+        # The product is at the cap from here on; bounding the exponent keeps it within a long.
+        doublings = F.least(doublings, F.lit(max(0, (max(1, cap_ms) // max(1, base_ms)).bit_length())))
+    delay = F.lit(base_ms).cast("long") * F.pow(F.lit(2), doublings).cast("long")
     return F.least(delay, F.lit(cap_ms).cast("long")) if cap_ms else delay
 
 
@@ -63,8 +72,8 @@ def sql_functions(spark: SparkSession) -> list[str]:
         "record_coord(t STRING, p INT, o BIGINT) RETURNS STRING": "concat_ws('/', t, p, o)",
         "hash_field(v STRING, salt STRING) RETURNS STRING": "if(v is null, '', sha2(concat(salt, ':', v), 256))",
         "truncate_name(v STRING) RETURNS STRING": (
-            "coalesce(if(get(split(trim(v), '\\\\s+'), 1) is null, get(split(trim(v), '\\\\s+'), 0), "
-            "concat(get(split(trim(v), '\\\\s+'), 0), ' ', left(get(split(trim(v), '\\\\s+'), 1), 1), '.')), '')"
+            f"coalesce(concat(regexp_extract(v, r'{FIRST_WORD}', 1), "
+            f"regexp_replace(regexp_extract(v, r'{SECOND_INITIAL}', 1), r'^(.+)$', '$1.')), '')"
         ),
     }
     for signature, body in bodies.items():

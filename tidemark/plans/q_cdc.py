@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_field
-from ..functions.names import truncate_name
+from ..functions.names import FIRST_WORD, SECOND_INITIAL, truncate_name
 from ..operators import cdc, joins
 from ..operators.records import chain
 from ..schema import PRODUCT_IMAGE, USER_IMAGE
@@ -21,8 +21,8 @@ USERS = "topic = 'cdc.public.users'"
 
 
 def truncate_sql(c: str) -> str:
-    ws = f"string_split_regex(trim({c}), '\\s+')"
-    return f"(CASE WHEN {c} IS NULL THEN '' WHEN len({ws}) < 2 THEN {ws}[1] ELSE {ws}[1] || ' ' || left({ws}[2], 1) || '.' END)"
+    first, initial = (f"regexp_extract({c}, '{p}', 1)" for p in (FIRST_WORD, SECOND_INITIAL))
+    return f"coalesce({first} || (CASE WHEN {initial} = '' THEN '' ELSE {initial} || '.' END), '')"
 
 
 def hash_sql(c: str) -> str:
