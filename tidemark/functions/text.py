@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,3 +36,12 @@ def analyze_text(text: str | Column) -> Column:
     """Search tokens: lower case, accents folded, every non-empty run of letters and digits."""
     column = F.col(text) if isinstance(text, str) else text
     return F.filter(F.split(fold_accents(F.lower(column)), NOT_WORD), lambda w: w != "")
+
+
+def analyze_literal(text: str) -> list[str]:
+    """The tokens that :func:`analyze_text` makes of a text, for parameters."""
+    text = text.lower()
+    for letter, pair in DIGRAPHS.items():
+        text = text.replace(letter, pair)
+    text = text.translate(str.maketrans(ACCENTED, FOLDED))
+    return "".join(c if unicodedata.category(c)[0] == "L" or c.isdecimal() else " " for c in text).split()

@@ -38,29 +38,48 @@ ORDER_VERSIONS = {
 def wire_header(value: str = "value") -> dict[str, Column]:
     """Schema id, message index, payload and error of a registry-framed value.
 
-    Indexes of one byte are read: the count and the first index as zigzag numbers.
+    Behind the schema id come a count and as many indexes, zigzag varints of up to ten bytes; a count of 0 stands for the
+    index 0. The first index counts and has to be 0 or -1. Only a frame with a count has its bytes looked at.
     """
     v = F.col(value)
     raw = F.hex(v)
     size = F.octet_length(v)
 
-    def byte(pos: int) -> Column:
-        return F.conv(F.substring(raw, 2 * pos + 1, 2), 16, 10).cast("int")
-
-    def zigzag(n: Column) -> Column:
-        return F.when(n % 2 == 0, F.floor(n / 2)).otherwise(-F.floor(n / 2) - 1).cast("long")
-
-    count = zigzag(byte(5))
-    index = F.when(count == 0, F.lit(0)).otherwise(zigzag(byte(6))).cast("long")
+    def byte(pos: int | Column) -> Column:
+        return F.conv(F.substring(raw, 2 * pos + 1, F.lit(2)), 16, 10).cast("int")
+
+    def zigzag(first: Column, last: Column) -> Column:
+        def add(acc: Column, pos: Column) -> Column:
+            low = byte(pos).bitwiseAND(127).cast("long")
+            return acc.bitwiseOR(F.call_function("shiftleft", low, (7 * (pos - first)).cast("int")))
+
+        bits = F.aggregate(F.sequence(first, last), F.lit(0).cast("long"), add)
+        return F.shiftrightunsigned(bits, 1).bitwiseXOR(-bits.bitwiseAND(1))
+
+    # Last bytes of the numbers from the count on; the numbers of a header stand at the front.
+    ends = F.filter(F.sequence(F.lit(5), F.greatest(size - 1, F.lit(5))), lambda p: (p < size) & (byte(p) < 128))
+
+    def too_long(k: Column) -> Column:
+        start = F.when(k == 0, F.lit(5)).otherwise(F.get(ends, k - 1) + 1)
+        length = F.get(ends, k) - start + 1
+        return (length > 10) | ((length == 10) & (byte(F.get(ends, k)) > 1))
+
+    plain = byte(5) == 0
+    count = F.when(F.size(ends) > 0, zigzag(F.lit(5), F.get(ends, F.lit(0))))
+    due = F.greatest(count, F.lit(1))
+    complete = (F.size(ends) > due) & ~F.exists(F.sequence(F.lit(0), F.least(due, F.size(ends)).cast("int")), too_long)
+    first = zigzag(F.get(ends, F.lit(0)) + 1, F.get(ends, F.lit(1)))
+    # A count of 0 that is written in more than one byte has no indexes either.
+    none = plain | (~F.coalesce(too_long(F.lit(0)), F.lit(True)) & (count == 0))
+    index = F.when(none, F.lit(0)).when(complete, first).cast("long")
     error = (
         F.when(size < 5, "short")
         .when(byte(0) != 0, "bad magic")
-        .when((size < 6) | ((count != 0) & (size < 7)), "bad index")
-        .when((index != 0) & (index != -1), "bad index")
+        .when((size < 6) | index.isNull() | ~index.isin(0, -1), "bad index")
     )
     good = error.isNull()
     schema_id = F.when(size >= 5, F.conv(F.substring(raw, 3, 8), 16, 10).cast("long"))
-    header = F.when(count == 0, F.lit(6)).otherwise(F.lit(7))
+    header = F.when(plain, F.lit(6)).when(none, F.get(ends, F.lit(0)) + 1).otherwise(F.get(ends, due.cast("int")) + 1)
     return {
         "schema_id": F.when(good, schema_id),
         "message_index": F.when(good, index),

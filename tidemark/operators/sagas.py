@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .running import running
@@ -59,17 +61,24 @@ PART_BITS = 10
 
 
 def saga_timeline(events: DataFrame) -> DataFrame:
-    """Ordered chain, last event and terminal flag per saga and part.
+    """Ordered chain in parts of up to 1024 positions, with last event, number of events and terminal flag per saga.
 
-    A part holds up to 1024 consecutive events, so a saga of any length is
-    written out whole and no cell grows without bound; nearly all sagas have
-    the part 0 only.
+    The figures are those of the whole saga on each of its rows. They come from the totals of the parts, so no cell grows
+    without bound and no list is needed for them; nearly all sagas have the part 0 only.
     """
     chain = F.array_sort(F.collect_list(F.struct("seq", "event")))
-    out = events.groupBy("saga_id", F.shiftright("seq", PART_BITS).alias("part")).agg(
+    parts = events.groupBy("saga_id", F.shiftright("seq", PART_BITS).alias("part")).agg(
         F.array_join(F.transform(chain, lambda e: e["event"]), " → ").alias("chain"),
-        F.max_by("event", "seq").alias("last_event"),
-        F.count("*").alias("events"),
+        F.max(F.struct("seq", "event")).alias("__last"),
+        F.count("*").alias("__events"),
+    )
+    saga = Window.partitionBy("saga_id")
+    out = parts.select(
+        "saga_id",
+        "part",
+        "chain",
+        F.max("__last").over(saga)["event"].alias("last_event"),
+        F.sum("__events").over(saga).alias("events"),
     )
     return out.withColumn("terminal", F.col("last_event").isin(TERMINAL))
 
@@ -80,44 +89,50 @@ def open_sagas(events: DataFrame) -> DataFrame:
     return events.groupBy("saga_id").agg(F.count("*").alias("events")).join(ended, "saga_id", "left_anti")
 
 
-def _name(event: str) -> str:
-    return "at_" + event.replace(".", "_")
+STEPS = [f"{before}>{event}" for event, triggers in TRIGGERS.items() for before in triggers]
 
 
-def saga_conformance(events: DataFrame) -> DataFrame:
-    """Violations, missing compensations and outcome per saga.
-
-    An event breaks the choreography when none of its triggers came before it.
-    The first position of each known event is all that is kept per saga, a
-    fixed number of numbers combined before the shuffle.
-    """
-    first = events.groupBy("saga_id").agg(
-        *[F.min(F.when(F.col("event") == e, F.col("seq"))).alias(_name(e)) for e in EVENTS],
-        F.count_if(~F.col("event").isin(EVENTS)).alias("unknown"),
-    )
+def _breaks(before: Column, event: Column) -> Column:
+    """True for an event that may not follow the one right before it; a null stands for none."""
+    step = F.concat(F.coalesce(before, F.lit("")), F.lit(">"), event)
+    return (event != "order.requested") & ~step.isin(STEPS)
 
-    def seen(event: str) -> Column:
-        return F.col(_name(event))
 
-    broken, missing = F.col("unknown"), F.lit(0)
-    for event, triggers in TRIGGERS.items():
-        ready = F.lit(False)
-        for t in triggers:
-            ready = ready | F.coalesce(seen(t) < seen(event), F.lit(False))
-        broken = broken + (seen(event).isNotNull() & ~ready).cast("int")
+def _verdict(seen: Callable[[str], Column], violations: Column) -> list[Column]:
+    missing = F.lit(0)
     for event, answer in COMPENSATIONS.items():
-        missing = missing + (seen(event).isNotNull() & seen(answer).isNull()).cast("int")
+        missing = missing + (seen(event) & ~seen(answer)).cast("int")
     outcome = (
-        F.when(seen("shipment.scheduled").isNotNull(), "success")
-        .when(seen("payment.failed").isNotNull() | seen("payment.refunded").isNotNull(), "failed")
+        F.when(seen("shipment.scheduled"), "success")
+        .when(seen("payment.failed") | seen("payment.refunded"), "failed")
         .otherwise("open")
     )
-    return first.select(
-        "saga_id",
-        broken.cast("long").alias("violations"),
-        missing.cast("long").alias("missing_compensations"),
-        outcome.alias("outcome"),
+    return [violations.cast("long").alias("violations"), missing.cast("long").alias("missing_compensations"), outcome.alias("outcome")]
+
+
+def saga_conformance(events: DataFrame) -> DataFrame:
+    """Violations, missing compensations and outcome per saga.
+
+    Every event is checked against the one right before it by ``seq``, repeats included. The sort of a saga spills, and
+    what is kept of it is a fixed set of figures.
+    """
+    known = [*COMPENSATIONS, *COMPENSATIONS.values(), "shipment.scheduled", "payment.failed", "payment.refunded"]
+    before = F.lag("event").over(Window.partitionBy("saga_id").orderBy("seq", "event"))
+    checked = events.select("saga_id", "event", before.alias("before"))
+    per_saga = checked.groupBy("saga_id").agg(
+        F.count_if(_breaks(F.col("before"), F.col("event"))).alias("violations"),
+        *[F.coalesce(F.bool_or(F.col("event") == e), F.lit(False)).alias(e) for e in dict.fromkeys(known)],
     )
+    return per_saga.select("saga_id", *_verdict(lambda e: F.col(f"`{e}`"), F.col("violations")))
+
+
+def saga_conformance_running(events: DataFrame) -> DataFrame:
+    """The same for a stream: the events of a saga are its state, in order; a saga has a few dozen at most."""
+    per_saga = events.groupBy("saga_id").agg(F.array_sort(F.collect_list(F.struct("seq", "event"))).alias("chain"))
+    names = per_saga.select("saga_id", F.transform("chain", lambda e: e["event"]).alias("es"))
+    shifted = F.slice(F.concat(F.array(F.lit("")), F.col("es")), 1, F.size("es"))
+    broken = F.size(F.filter(F.zip_with(shifted, F.col("es"), _breaks), lambda b: b))
+    return names.select("saga_id", *_verdict(lambda e: F.array_contains("es", e), broken))
 
 
 def _effect(position: int) -> Column:

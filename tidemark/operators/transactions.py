@@ -39,7 +39,10 @@ def txn_outcomes(log: DataFrame, markers: DataFrame) -> DataFrame:
 
 
 def fence_stale_writers(writes: DataFrame, order: str = "txn_no") -> DataFrame:
-    """Mark writes of an older epoch after a newer one of the same transactional id has started."""
-    inside = writes.filter("txn_id IS NOT NULL")
-    newest = running(inside, ["txn_id"], [order], {"newest_epoch": ("max", F.col("epoch"))})
-    return newest.withColumn("fenced", F.col("epoch") < F.col("newest_epoch")).drop("newest_epoch")
+    """Mark writes of an older epoch once a newer one of the same transactional id has started.
+
+    Of the writes with one order number the newest epoch counts as the first, so the older ones among them are fenced.
+    """
+    inside = writes.filter("txn_id IS NOT NULL").withColumn("__older", -F.col("epoch"))
+    newest = running(inside, ["txn_id"], [order, "__older"], {"newest_epoch": ("max", F.col("epoch"))})
+    return newest.withColumn("fenced", F.col("epoch") < F.col("newest_epoch")).drop("newest_epoch", "__older")

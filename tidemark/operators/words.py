@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import unicodedata
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.binary import decode_u64
 from ..functions.binding import with_once
-from ..functions.text import analyze_text, tokenize
+from ..functions.text import analyze_literal, analyze_text, tokenize
 from ..session import cut_lineage
 from .running import running
 
@@ -70,11 +68,8 @@ K1, B = 1.2, 0.75
 
 
 def query_terms(query: str) -> list[str]:
-    """Distinct analyzed terms of a query text; the text is a parameter, not data."""
-    folded = unicodedata.normalize("NFKD", query.lower())
-    text = "".join(c for c in folded if not unicodedata.combining(c))
-    terms = "".join(c if c.isalnum() else " " for c in text).split()
-    return list(dict.fromkeys(terms))
+    """Distinct terms of a query text by the analyzer of the documents; the text is a parameter, not data."""
+    return list(dict.fromkeys(analyze_literal(query)))
 
 
 def match_top_k(docs: DataFrame, query: str, k: int, ident: str = "doc_id") -> DataFrame:

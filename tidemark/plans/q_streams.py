@@ -67,7 +67,7 @@ def _(t):
 
 @query("z10_saga_conformance_stream", Z10_SQL)
 def _(t):
-    return runner.updated(sagas.saga_conformance(Tables.as_saga(t.stream("orders"))), "z10", ["saga_id"])
+    return runner.updated(sagas.saga_conformance_running(Tables.as_saga(t.stream("orders"))), "z10", ["saga_id"])
 
 
 @query("z11_retry_pipeline", Z11_SQL)

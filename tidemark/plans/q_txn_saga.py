@@ -48,8 +48,10 @@ TERMINAL = "('shipment.scheduled', 'payment.failed', 'payment.refunded')"
 
 @query(
     "w10_saga_timeline",
-    f"""SELECT saga_id, seq >> 10 AS part, string_agg(event, ' → ' ORDER BY seq) AS chain, arg_max(event, seq) AS last_event, count(*) AS events,
-               arg_max(event, seq) IN {TERMINAL} AS terminal FROM v_saga GROUP BY saga_id, part""",
+    f"""WITH w AS (SELECT saga_id, arg_max(event, seq) AS last_event, count(*) AS events FROM v_saga GROUP BY saga_id)
+        SELECT s.saga_id, s.seq >> 10 AS part, string_agg(s.event, ' → ' ORDER BY s.seq) AS chain, any_value(w.last_event) AS last_event,
+               any_value(w.events) AS events, any_value(w.last_event) IN {TERMINAL} AS terminal
+        FROM v_saga s JOIN w ON w.saga_id = s.saga_id GROUP BY s.saga_id, part""",
 )
 def _(t):
     return sagas.saga_timeline(t.saga)
@@ -63,7 +65,7 @@ def _(t):
     return sagas.open_sagas(t.saga)
 
 
-Z10_SQL = f"""WITH p AS (SELECT saga_id, event, seq, lag(event) OVER (PARTITION BY saga_id ORDER BY seq) AS before FROM v_saga),
+Z10_SQL = f"""WITH p AS (SELECT saga_id, event, seq, coalesce(lag(event) OVER (PARTITION BY saga_id ORDER BY seq), '') AS before FROM v_saga),
         v AS (SELECT saga_id, count(*) FILTER (event <> 'order.requested' AND (before, event) NOT IN (
                 ('order.requested', 'payment.completed'), ('order.requested', 'payment.failed'), ('payment.completed', 'inventory.reserved'),
                 ('payment.completed', 'inventory.failed'), ('inventory.reserved', 'shipment.scheduled'), ('inventory.reserved', 'shipment.failed'),

@@ -16,16 +16,20 @@ def read_unpublished(outbox: DataFrame, limit: int) -> DataFrame:
 
 
 def mark_published(outbox: DataFrame, ids: DataFrame, now: Column) -> DataFrame:
-    """Outbox with ``published_at`` set for the batch; fails when an id of the batch is not in the table.
+    """Outbox with ``published_at`` set for the batch; fails unless the batch touches as many rows as it has ids.
 
-    The check runs as part of the job: touched and expected counts are
-    compared by a scalar subquery on every row that leaves it.
+    So an id that is not in the table, or is given twice, fails the job, and no row is doubled. The counts are compared
+    by a scalar subquery on every row that leaves it.
     """
-    marks = ids.select("id").withColumn("__hit", F.lit(True))
+    marks = ids.groupBy("id").agg(F.count("*").alias("__given"))
     joined = outbox.join(marks, "id", "left")
-    missing = ids.join(outbox.select("id"), "id", "left_anti").agg(F.count("*")).scalar()
-    stamp = F.when(F.col("__hit"), now).otherwise(F.col("published_at"))
-    checked = F.when(missing > 0, F.raise_error(F.concat(missing.cast("string"), F.lit(" ids are not in the outbox"))))
+    counts = marks.join(outbox.groupBy("id").agg(F.count("*").alias("__rows")), "id", "left").agg(
+        F.sum("__given") - F.sum(F.coalesce("__rows", F.lit(0)))
+    )
+    apart = F.coalesce(counts.scalar(), F.lit(0))
+    stamp = F.when(F.col("__given") > 0, now).otherwise(F.col("published_at"))
+    text = F.concat(F.lit("ids given and rows touched differ by "), apart.cast("string"))
+    checked = F.when(apart != 0, F.raise_error(text))
     return joined.withColumn("published_at", F.coalesce(checked.cast("timestamp"), stamp)).select(*outbox.columns)
 
 
