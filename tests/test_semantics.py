@@ -358,9 +358,9 @@ def test_classify_payment(spark):
     got = rel.handled(payments(spark))
     assert pairs(got, "offset", "cls", "message") == {
         (0, "ok", None),
-        (1, "transient", 'transient downstream blip on payment id="p1"'),
-        (2, "permanent", 'payment id="p2" rejected by domain rules'),
-        (3, "permanent", 'unknown mode: "odd"'),
+        (1, "transient", 'payment not settled for now, id="p1"'),
+        (2, "permanent", 'payment refused for good, id="p2"'),
+        (3, "permanent", 'no such mode: "odd"'),
         (9, "permanent", "invalid json"),
     }
 
@@ -430,7 +430,7 @@ def test_failure_runs(spark):
 def test_validation_order(spark):
     df = spark.createDataFrame([("", 0, ""), ("c", 0, ""), ("c", 5, ""), ("c", 5, "EUR")], "customer_id string, amount_cents long, currency string")
     assert [r.error for r in records.validate_orders(df).collect()] == [
-        "customer_id is required", "amount_cents must be > 0", "currency is required", None
+        "no customer given", "amount is not above zero", "no currency given", None
     ]
     r = records.upload_summary(df).first()
     assert (r.received, r.accepted, r.rejected, r.total_cents) == (4, 2, 2, 10)

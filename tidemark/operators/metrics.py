@@ -136,34 +136,37 @@ def capacity_plan(load: DataFrame, nodes: int) -> DataFrame:
     )
 
 
-def _duration_text(ms: Column) -> Column:
-    out = None
-    for unit, size in (("d", 86400000), ("h", 3600000), ("m", 60000), ("s", 1000)):
-        fits = (ms >= size) & (ms % size == 0)
-        text = F.concat(F.floor(ms / size).cast("string"), F.lit(unit))
-        out = F.when(fits, text) if out is None else out.when(fits, text)
-    return out.otherwise(F.concat(ms.cast("string"), F.lit("ms")))
-
-
-def _size_text(size: Column) -> Column:
-    return (
-        F.when(size >= 1 << 30, F.format_string("%.1f GB", size / (1 << 30)))
-        .when(size >= 1 << 20, F.format_string("%.0f MB", size / (1 << 20)))
-        .when(size >= 1 << 10, F.format_string("%.0f KB", size / (1 << 10)))
-        .otherwise(F.concat(size.cast("string"), F.lit(" B")))
-    )
+# How settings read for people: kind, text, units in it, and whether only whole multiples use it. The first that fits counts.
+UNITS = [
+    ("time", "%.0fd", 86_400_000, True),
+    ("time", "%.0fh", 3_600_000, True),
+    ("time", "%.0fm", 60_000, True),
+    ("time", "%.0fs", 1_000, True),
+    ("time", "%.0fms", 1, False),
+    ("bytes", "%.1f GB", 1 << 30, False),
+    ("bytes", "%.0f MB", 1 << 20, False),
+    ("bytes", "%.0f KB", 1 << 10, False),
+    ("bytes", "%.0f B", 1, False),
+]
+KINDS = {"retention.ms": "time", "segment.ms": "time", "retention.bytes": "bytes", "segment.bytes": "bytes", "max.message.bytes": "bytes"}
+ENDLESS = ["retention.ms", "segment.ms", "retention.bytes"]
 
 
 def setting_text(setting: Column, value: Column) -> Column:
     """A setting for people: durations as ``7d`` or ``10m``, sizes as ``128 MB``, -1 as no limit."""
-    number = value.try_cast("bigint")
-    unlimited = setting.isin("retention.ms", "segment.ms", "retention.bytes") & (value == "-1")
-    return (
-        F.when(unlimited, F.lit("no limit"))
-        .when(setting.isin("retention.ms", "segment.ms") & (number >= 0), _duration_text(number))
-        .when(setting.isin("retention.bytes", "segment.bytes", "max.message.bytes") & (number >= 0), _size_text(number))
-        .otherwise(value)
-    )
+    kind, number = lookup(setting, KINDS, F.lit(None).cast("string")), value.try_cast("bigint")
+    units = F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.lit(t).alias("text"), F.lit(n).cast("long").alias("n"), F.lit(w).alias("whole"))
+        for k, t, n, w in UNITS
+    ])
+
+    def fits(unit: Column) -> Column:
+        enough = (number >= unit["n"]) | ((unit["n"] == 1) & (number == 0))
+        return (unit["kind"] == kind) & enough & (~unit["whole"] | (number % unit["n"] == 0))
+
+    unit = F.get(F.filter(units, fits), F.lit(0))
+    text = F.call_function("format_string", unit["text"], number.cast("double") / unit["n"])
+    return F.when((value == "-1") & setting.isin(ENDLESS), "no limit").otherwise(F.when(unit.isNotNull(), text).otherwise(value))
 
 
 def profile_rows(spark: SparkSession) -> DataFrame:

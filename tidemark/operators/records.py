@@ -60,9 +60,9 @@ def route_by_channel(df: DataFrame, node: str, routes: dict[str, str] | None = N
 def validate_orders(df: DataFrame) -> DataFrame:
     """Add ``error`` with the first failing rule; null means accepted."""
     error = (
-        F.when(F.coalesce("customer_id", F.lit("")) == "", "customer_id is required")
-        .when(F.col("amount_cents") <= 0, "amount_cents must be > 0")
-        .when(F.coalesce("currency", F.lit("")) == "", "currency is required")
+        F.when(F.coalesce("customer_id", F.lit("")) == "", "no customer given")
+        .when(F.col("amount_cents") <= 0, "amount is not above zero")
+        .when(F.coalesce("currency", F.lit("")) == "", "no currency given")
     )
     return df.withColumn("error", error)
 

@@ -62,9 +62,9 @@ def classify_payment(value: str | Column = "value") -> Column:
         message = (
             F.when(bad, "invalid json")
             .when(mode == "ok", F.lit(None))
-            .when(mode == "transient", F.concat(F.lit('transient downstream blip on payment id="'), ident, F.lit('"')))
-            .when(mode == "permanent", F.concat(F.lit('payment id="'), ident, F.lit('" rejected by domain rules')))
-            .otherwise(F.concat(F.lit('unknown mode: "'), F.coalesce(mode, F.lit("")), F.lit('"')))
+            .when(mode == "transient", F.concat(F.lit('payment not settled for now, id="'), ident, F.lit('"')))
+            .when(mode == "permanent", F.concat(F.lit('payment refused for good, id="'), ident, F.lit('"')))
+            .otherwise(F.concat(F.lit('no such mode: "'), F.coalesce(mode, F.lit("")), F.lit('"')))
         )
         return F.struct(cls.alias("cls"), message.alias("message"))
 

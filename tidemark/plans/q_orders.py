@@ -203,8 +203,8 @@ def _(t):
 
 @query(
     "p13_validate_orders",
-    """SELECT seq, CASE WHEN customer_id = '' THEN 'customer_id is required' WHEN amount_cents <= 0 THEN 'amount_cents must be > 0'
-                        WHEN currency = '' THEN 'currency is required' END AS error FROM v_upload""",
+    """SELECT seq, CASE WHEN customer_id = '' THEN 'no customer given' WHEN amount_cents <= 0 THEN 'amount is not above zero'
+                        WHEN currency = '' THEN 'no currency given' END AS error FROM v_upload""",
 )
 def _(t):
     return records.validate_orders(t.upload).select("seq", "error")

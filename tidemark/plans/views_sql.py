@@ -214,9 +214,9 @@ SQL_VIEWS = {
         SELECT *, CASE WHEN bad THEN 'permanent' WHEN mode = 'ok' THEN 'ok' WHEN mode = 'transient' THEN 'transient' ELSE 'permanent' END AS cls,
                CASE WHEN bad THEN 'invalid json'
                     WHEN mode = 'ok' THEN NULL
-                    WHEN mode = 'transient' THEN 'transient downstream blip on payment id="pay-' || "offset" || '"'
-                    WHEN mode = 'permanent' THEN 'payment id="pay-' || "offset" || '" rejected by domain rules'
-                    ELSE 'unknown mode: "' || mode || '"' END AS message
+                    WHEN mode = 'transient' THEN 'payment not settled for now, id="pay-' || "offset" || '"'
+                    WHEN mode = 'permanent' THEN 'payment refused for good, id="pay-' || "offset" || '"'
+                    ELSE 'no such mode: "' || mode || '"' END AS message
         FROM v_pay""",
     # Dead letters of the staged pipeline as flat columns.
     "v_dlq": """
