@@ -13,12 +13,15 @@ from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORDS, word_count
 
 WEIGHTS = (3, 1, 2)
+BROADCAST_ROWS = 20_000  # of at most 100 bytes or so each
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], factor: float = 1.5, most: float = 2.0) -> list[float]:
@@ -69,17 +72,22 @@ def cut(text: str, ranges: Iterable[tuple[int, int]]) -> str:
     return "\n".join(text[spans[a][0] : spans[b - 1][1]] for a, b in ranges)
 
 
-def _deal(docs: DataFrame, seed: int, block: int, shard_words: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with ``src, shard``, and the quota of each shard."""
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a table of few rows; above that the planner joins by shuffling and splits the hot keys."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def _deal(docs: DataFrame, seed: int, block: int, shard_words: int) -> DataFrame:
+    """Rows with their ``size``, ``src`` and ``shard``, and the blocks and the quota of the shard; ``text`` is dropped."""
     spark = docs.sparkSession
-    sized = docs.withColumn("size", word_count(F.col("text")))
+    sized = docs.withColumn("size", word_count(F.col("text"))).withColumn("place", F.xxhash64("doc_id", "text", F.lit(seed)))
+    sized = sized.drop("text")
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size")).collect()
     per.sort(key=lambda r: (r.source is None, r.source or ""))
     goal = targets([r.source_size for r in per], [WEIGHTS[i % len(WEIGHTS)] for i in range(len(per))])
     rows = [(r.source, i, r.source_size, goal[i], max(1, -(-r.source_size // shard_words))) for i, r in enumerate(per)]
     sources = spark.createDataFrame(rows, "of string, src int, source_size long, target double, shards long")
-    dealt = sized.join(sources, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    dealt = dealt.withColumn("place", F.xxhash64("doc_id", "text", F.lit(seed)))
+    dealt = sized.join(small(sources, len(rows)), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("place"), F.col("shards")))
     held = dealt.groupBy("src", "shard").agg(F.sum("size").alias("words")).collect()
     shards: dict[int, list[tuple[int, int]]] = {}
@@ -95,7 +103,8 @@ def _deal(docs: DataFrame, seed: int, block: int, shard_words: int) -> tuple[Dat
         own = sorted(shards[s])
         given = sainte_lague(n, [w for _, w in own], [2 * b for b in blocks[s]])
         quotas += [(s, k, b, q) for (k, _), b, q in zip(own, blocks[s], given, strict=True)]
-    return dealt.drop("shards"), spark.createDataFrame(quotas, "src int, shard long, blocks long, quota long")
+    given = spark.createDataFrame(quotas, "src int, shard long, blocks long, quota long")
+    return dealt.drop("shards").join(small(given, len(quotas)), ["src", "shard"], "left")
 
 
 def _counts(blocks: int, quota: int, seed: int, src: int, shard: int) -> np.ndarray:
@@ -131,8 +140,7 @@ def mix(docs: DataFrame, seed: int = 17, block: int = 32, shard_words: int = 1 <
     Sources are ranked by code point, null last, and weigh 3, 1, 2, repeating. A null text has no words. Repeated
     rows are documents of their own. Reruns give the same rows. An empty table, or one without a word, takes nothing.
     """
-    slim, quotas = _deal(docs.select("doc_id", "text", F.col("source").cast("string").alias("source")), seed, block, shard_words)
-    slim = slim.drop("text").join(quotas, ["src", "shard"], "left")
+    slim = _deal(docs.select("doc_id", "text", F.col("source").cast("string").alias("source")), seed, block, shard_words)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group, taken, *_ = _taken(group, seed)
@@ -153,34 +161,36 @@ def mixed_texts(docs: DataFrame, seed: int = 17, block: int = 32, shard_words: i
     names = docs.columns
     own = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
     keyed = docs.select("doc_id", "text", F.col("source").cast("string").alias("source"), own)
-    dealt, quotas = _deal(keyed, seed, block, shard_words)
-    dealt = dealt.drop("text", "source_size", "target", "source").join(quotas, ["src", "shard"], "left")
+    dealt = _deal(keyed, seed, block, shard_words).drop("source_size", "target", "source")
     kind = docs.schema.simpleString()
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group, taken, starts, edges, counts = _taken(group, seed)
-        rows, copies, texts = [], [], []
+    def run(group: pa.Table) -> pa.Table:
+        rows = pa.concat_arrays(group.column("row").chunks)
+        frame = group.select(["doc_id", "size", "place", "src", "shard", "blocks", "quota"]).to_pandas()
+        frame, taken, starts, edges, counts = _taken(frame.assign(at=np.arange(len(frame))), seed)
+        words, at = frame["size"].to_numpy(np.int64), frame["at"].to_numpy()
+        origin, texts = [], []
+        own = pc.struct_field(rows, "text")
         for i in np.flatnonzero(taken):
-            a, b = int(starts[i]), int(starts[i] + group["size"].iat[i])
-            first, last = np.searchsorted(edges, [a, b - 1], "right") - 1
-            row = group["row"].iat[i]
-            times = counts[first : last + 1]
-            for copy in range(1, int(times.max()) + 1):
+            a, b = int(starts[i]), int(starts[i] + words[i])
+            first, last = (np.searchsorted(edges, [a, b - 1], "right") - 1).tolist()
+            text = own[int(at[i])].as_py()
+            for copy in range(1, int(counts[first : last + 1].max()) + 1):
                 ranges: list[tuple[int, int]] = []
                 for k in range(first, last + 1):
-                    if counts[k] >= copy:
-                        lo, hi = max(a, int(edges[k])) - a, min(b, int(edges[k + 1])) - a
-                        if ranges and ranges[-1][1] == lo:
-                            ranges[-1] = (ranges[-1][0], hi)
-                        elif hi > lo:
-                            ranges.append((lo, hi))
+                    lo, hi = max(a, int(edges[k])) - a, min(b, int(edges[k + 1])) - a
+                    if counts[k] < copy or hi <= lo:
+                        continue
+                    if ranges and ranges[-1][1] == lo:
+                        ranges[-1] = (ranges[-1][0], hi)
+                    else:
+                        ranges.append((lo, hi))
                 if ranges:
-                    rows.append(i)
-                    copies.append(copy)
-                    texts.append(row["text"] if ranges == [(0, b - a)] else cut(row["text"], ranges))
-        return pd.DataFrame({"row": [group["row"].iat[i] for i in rows], "new_text": texts})
+                    origin.append(int(at[i]))
+                    texts.append(text if ranges == [(0, b - a)] else cut(text, ranges))
+        return pa.table({"row": rows.take(pa.array(origin, pa.int64())), "new_text": pa.array(texts, pa.string())})
 
-    out = dealt.groupBy("src", "shard").applyInPandas(run, f"row {kind}, new_text string")
+    out = dealt.groupBy("src", "shard").applyInArrow(run, f"row {kind}, new_text string")
     cols = [F.col("new_text").alias(c) if c == "text"
             else F.length("new_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
             else F.col(f"row.`{c}`").alias(c) for c in names]
