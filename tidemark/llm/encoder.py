@@ -2,8 +2,9 @@
 
 A byte-level or word-level BPE never joins characters over a blank that stands between two words, so a text can be
 cut before every such blank and each distinct chunk is encoded once. Where blanks follow each other the cut would
-change the result; such a text is encoded in one go. Chunks that are new are encoded many at a time, parted by the
-tokenizer's own end mark. The cache has two generations of bounded size, so its memory is fixed; it only saves time.
+change the result; such a text is encoded in one go. Chunks that are new are encoded many at a time where what each
+id stands for shows their ends. The cache has two generations of bounded size, so its memory is fixed; it only saves
+time.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import re
 import numpy as np
 
 BLANKS = re.compile(r"\s \s")
+PLAIN_WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+[.,!?]?")
 _OPEN: dict[str, Encoder] = {}
 
 
@@ -25,19 +27,25 @@ def encoder(path: str) -> Encoder:
 
 
 class Encoder:
-    def __init__(self, path: str, entries: int = 250_000):
+    def __init__(self, path: str, entries: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.plain = Tokenizer.from_file(path)
         self.plain.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.marked = Tokenizer.from_file(path)
-        self.marked.encode_special_tokens = False
-        special = [(i, t.content) for i, t in self.plain.get_added_tokens_decoder().items() if t.special]
-        self.mark_id, self.mark = max(special) if special else (None, None)
         self.vocab = self.plain.get_vocab()
         self.dtype = np.dtype("<u2") if max(self.vocab.values()) < 1 << 16 else np.dtype("<u4")
         self.entries = entries
+        if any(token.endswith("</w>") for token in self.vocab):
+            # Units are words and runs of marks, which end with a token of their own kind.
+            self.units = np.zeros(max(self.vocab.values()) + 1, np.int64)
+            self.units[[i for token, i in self.vocab.items() if token.endswith("</w>")]] = 1
+            self.joinable, self.size_of = PLAIN_WORD.fullmatch, lambda chunk: 1 + (chunk[-1] in ".,!?")
+        else:
+            # Units are bytes of text.
+            self.units = self.token_bytes()
+            self.joinable = lambda chunk: chunk[:1] == " " and len(chunk) > 1 and not chunk[1].isspace()
+            self.size_of = lambda chunk: len(chunk.encode())
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -54,38 +62,51 @@ class Encoder:
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _learn(self, chunks: set[str]) -> None:
-        fresh = []
+        """Put the ids of chunks into the cache, from the older generation or the tokenizer."""
+        together, alone = [], []
         for chunk in chunks:
-            if chunk not in self.new:
-                known = self.old.get(chunk)
-                if known is None:
-                    fresh.append(chunk)
-                else:
-                    self.new[chunk] = known
-        alone = [c for c in fresh if self.mark is None or "<|" in c or len(c) > 1000]
-        for chunk in alone:
-            self.new[chunk] = self._ids(chunk)
-        if len(alone) < len(fresh):
-            left_out = set(alone)
-            fresh = [c for c in fresh if c not in left_out]
-            for at in range(0, len(fresh), 1000):
-                part = fresh[at : at + 1000]
-                ids = np.array(self.marked.encode(self.mark.join(part), add_special_tokens=False).ids, self.dtype)
-                ends = np.flatnonzero(ids == self.mark_id)
-                raw, size = ids.tobytes(), self.dtype.itemsize
-                starts = [0, *((ends + 1) * size).tolist()]
-                for chunk, a, b in zip(part, starts, [*(ends * size).tolist(), len(raw)], strict=True):
-                    self.new[chunk] = raw[a:b]
+            known = self.old.get(chunk)
+            if known is not None:
+                self.new[chunk] = known
+            elif self.joinable(chunk):
+                together.append(chunk)
+            else:
+                alone.append(chunk)
+        for chunk, found in zip(alone, self.plain.encode_batch_fast(alone, add_special_tokens=False), strict=True):
+            self.new[chunk] = np.array(found.ids, self.dtype).tobytes()
+        size = self.dtype.itemsize
+        for at in range(0, len(together), 64):
+            part = together[at : at + 64]
+            (found,) = self.plain.encode_batch_fast(["".join(part)], add_special_tokens=False)
+            ids = np.array(found.ids, self.dtype)
+            # Every id stands for a number of units, and so does every chunk: their running sums meet at the ends.
+            ends = np.searchsorted(np.cumsum(self.units[ids]), np.cumsum([self.size_of(c) for c in part]), "left") + 1
+            raw, at_byte = ids.tobytes(), 0
+            for chunk, end in zip(part, (ends * size).tolist(), strict=True):
+                self.new[chunk] = raw[at_byte:end]
+                at_byte = end
 
     def encode(self, texts: list[str | None], step: int = 400) -> list[bytes]:
         """Ids of each text as little-endian integers of ``self.dtype``; a null counts as empty."""
         out: list[bytes] = []
         for at in range(0, len(texts), step):
-            cut = [None if t and BLANKS.search(t) else (t or "").replace(" ", "\0 ").split("\0") if "\0" not in (t or "") else None
-                   for t in texts[at : at + step]]
             if len(self.new) > self.entries:
                 self.old, self.new = self.new, {}
-            self._learn(set().union(*(c for c in cut if c is not None)))
-            known = self.new.__getitem__
-            out += [self._ids(t) if c is None else b"".join(map(known, c)) for c, t in zip(cut, texts[at : at + step], strict=True)]
+            known, rows, open_, fresh = self.new.get, [], [], set()
+            for text in texts[at : at + step]:
+                if not text or "\0" in text or BLANKS.search(text):
+                    rows.append([self._ids(text) if text else b""])
+                    continue
+                chunks = text.replace(" ", "\0 ").split("\0")
+                row = list(map(known, chunks))
+                holes = [k for k, x in enumerate(row) if x is None]
+                if holes:
+                    open_.append((row, chunks, holes))
+                    fresh.update([chunks[k] for k in holes])
+                rows.append(row)
+            self._learn(fresh)
+            for row, chunks, holes in open_:
+                for k in holes:
+                    row[k] = self.new[chunks[k]]
+            out += map(b"".join, rows)
         return out
