@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.binding import with_once
+from ..functions.binding import bound, with_once
 from ..functions.binary import (
     avro_long_len,
     avro_string_len,
@@ -35,15 +35,17 @@ ORDER_VERSIONS = {
 }
 
 
-def wire_header(value: str = "value") -> dict[str, Column]:
-    """Schema id, message index, payload and error of a registry-framed value.
+def wire_frame(value: str = "value") -> Column:
+    """Schema id, message index, payload and error of a registry-framed value, as one struct.
 
     Behind the schema id come a count and as many indexes, zigzag varints of up to ten bytes; a count of 0 stands for the
     index 0. The first index counts and has to be 0 or -1. Only a frame with a count has its bytes looked at.
     """
-    v = F.col(value)
-    raw = F.hex(v)
-    size = F.octet_length(v)
+    return bound(F.struct(F.hex(value).alias("raw"), F.octet_length(value).alias("size")), _frame)
+
+
+def _frame(frame: Column) -> Column:
+    raw, size = frame["raw"], frame["size"]
 
     def byte(pos: int | Column) -> Column:
         return F.conv(F.substring(raw, 2 * pos + 1, F.lit(2)), 16, 10).cast("int")
@@ -56,44 +58,52 @@ def wire_header(value: str = "value") -> dict[str, Column]:
         bits = F.aggregate(F.sequence(first, last), F.lit(0).cast("long"), add)
         return F.shiftrightunsigned(bits, 1).bitwiseXOR(-bits.bitwiseAND(1))
 
+    def read(ends: Column) -> Column:
+        def too_long(k: Column) -> Column:
+            start = F.when(k == 0, F.lit(5)).otherwise(F.get(ends, k - 1) + 1)
+            length = F.get(ends, k) - start + 1
+            return (length > 10) | ((length == 10) & (byte(F.get(ends, k)) > 1))
+
+        def of(count: Column) -> Column:
+            due = F.greatest(count, F.lit(1))
+            complete = (F.size(ends) > due) & ~F.exists(F.sequence(F.lit(0), due.cast("int")), too_long)
+            none = (count == 0) & ~too_long(F.lit(0))
+            first = zigzag(F.get(ends, F.lit(0)) + 1, F.get(ends, F.lit(1)))
+            index = F.when(none, F.lit(0)).when(complete, first).cast("long")
+            header = F.when(none, F.get(ends, F.lit(0))).otherwise(F.get(ends, due.cast("int"))) + 1
+            return F.struct(index.alias("index"), header.alias("header"))
+
+        return bound(F.when(F.size(ends) > 0, zigzag(F.lit(5), F.get(ends, F.lit(0)))), of)
+
+    def judge(h: Column) -> Column:
+        error = (
+            F.when(size < 5, "short")
+            .when(byte(0) != 0, "bad magic")
+            .when((size < 6) | h["index"].isNull() | ~h["index"].isin(0, -1), "bad index")
+        )
+        good = error.isNull()
+        return F.struct(
+            F.when(good, F.conv(F.substring(raw, 3, 8), 16, 10).cast("long")).alias("schema_id"),
+            F.when(good, h["index"]).alias("message_index"),
+            F.when(good, (size - h["header"]).cast("long")).alias("payload_bytes"),
+            error.alias("error"),
+        )
+
     # Last bytes of the numbers from the count on; the numbers of a header stand at the front.
     ends = F.filter(F.sequence(F.lit(5), F.greatest(size - 1, F.lit(5))), lambda p: (p < size) & (byte(p) < 128))
+    plain = F.struct(F.lit(0).cast("long").alias("index"), F.lit(6).alias("header"))
+    return bound(F.when(byte(5) == 0, plain).otherwise(bound(ends, read)), judge)
 
-    def too_long(k: Column) -> Column:
-        start = F.when(k == 0, F.lit(5)).otherwise(F.get(ends, k - 1) + 1)
-        length = F.get(ends, k) - start + 1
-        return (length > 10) | ((length == 10) & (byte(F.get(ends, k)) > 1))
-
-    plain = byte(5) == 0
-    count = F.when(F.size(ends) > 0, zigzag(F.lit(5), F.get(ends, F.lit(0))))
-    due = F.greatest(count, F.lit(1))
-    complete = (F.size(ends) > due) & ~F.exists(F.sequence(F.lit(0), F.least(due, F.size(ends)).cast("int")), too_long)
-    first = zigzag(F.get(ends, F.lit(0)) + 1, F.get(ends, F.lit(1)))
-    # A count of 0 that is written in more than one byte has no indexes either.
-    none = plain | (~F.coalesce(too_long(F.lit(0)), F.lit(True)) & (count == 0))
-    index = F.when(none, F.lit(0)).when(complete, first).cast("long")
-    error = (
-        F.when(size < 5, "short")
-        .when(byte(0) != 0, "bad magic")
-        .when((size < 6) | index.isNull() | ~index.isin(0, -1), "bad index")
-    )
-    good = error.isNull()
-    schema_id = F.when(size >= 5, F.conv(F.substring(raw, 3, 8), 16, 10).cast("long"))
-    header = F.when(plain, F.lit(6)).when(none, F.get(ends, F.lit(0)) + 1).otherwise(F.get(ends, due.cast("int")) + 1)
-    return {
-        "schema_id": F.when(good, schema_id),
-        "message_index": F.when(good, index),
-        "payload_bytes": F.when(good, (size - header).cast("long")),
-        "error": error,
-    }
+
+def wire_header(value: str = "value") -> dict[str, Column]:
+    """The fields of :func:`wire_frame`."""
+    frame = wire_frame(value)
+    return {name: frame[name] for name in ("schema_id", "message_index", "payload_bytes", "error")}
 
 
 def wire_header_audit(log: DataFrame) -> DataFrame:
     """Records, bytes and payload bytes per schema id and per kind of error."""
-    parts = wire_header()
-    rows = with_once(log, "__w", F.struct(*[c.alias(n) for n, c in parts.items()])).select(
-        F.octet_length("value").cast("long").alias("size"), "__w.*"
-    )
+    rows = with_once(log, "__w", wire_frame()).select(F.octet_length("value").cast("long").alias("size"), "__w.*")
     return rows.groupBy("schema_id", "error").agg(
         F.count("*").alias("records"), F.sum("size").alias("bytes"), F.sum("payload_bytes").alias("payload_bytes")
     )
