@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings every job relies on. Broadcasts are left to the planner, which only
 # broadcasts below spark.sql.autoBroadcastJoinThreshold, and to AQE.
 DEFAULTS = {
@@ -17,10 +19,11 @@ DEFAULTS = {
     # Merge sessions before the shuffle, so a busy key ships sessions, not rows.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # State of all streams on local disk with changelog checkpoints instead of the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the session defaults and return the session."""
@@ -29,12 +32,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """State on local disk with changelog checkpoints instead of the JVM heap."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-
-
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one job below the shared folder of ``spark.checkpoint.dir``.
 

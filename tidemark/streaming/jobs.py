@@ -13,7 +13,6 @@ from ..operators import cdc, records, sagas
 from ..operators.joins import last_per_key
 from ..operators.words import top_n_words, word_count
 from ..schema import USER_IMAGE
-from ..session import use_rocksdb_state
 from ..sources.rules import RuleSet
 from ..sources.sinks import append_versioned
 from .runner import batch_table, read_batches, write_batch
@@ -184,7 +183,6 @@ def apply_message(current: dict | None, m) -> dict | None:
 
 def saga_orchestrator_stream(messages: DataFrame) -> DataFrame:
     """Keyed state per saga in the RocksDB store; emits the state row of every saga a batch touches."""
-    use_rocksdb_state(messages.sparkSession)
     return messages.groupBy("saga_id").transformWithState(
         statefulProcessor=SagaProcessor(), outputStructType=SAGA_OUTPUT, outputMode="Update", timeMode="None"
     )
