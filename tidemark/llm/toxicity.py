@@ -79,7 +79,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 12_000, bits: int =
     known = labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id"), 4) != 2)
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
     known = known.select("doc_id", "y", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").where("text is not null").join(known, "doc_id")
+    # At most ``sample`` rows of three numbers, so the texts stay where they are.
+    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(known), "doc_id")
     rows = rows.groupBy("doc_id", "h", "y").agg(F.min("text").alias("text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
