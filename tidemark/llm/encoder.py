@@ -27,7 +27,7 @@ def encoder(path: str) -> Encoder:
 
 
 class Encoder:
-    def __init__(self, path: str, entries: int = 500_000):
+    def __init__(self, path: str, entries: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
