@@ -7,7 +7,6 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -240,7 +239,7 @@ def test_search_hard_rows(spark):
             (204, [None, 1.0]), (205, []), (206, [1.0]), (None, [1.0, 1.0]), (220, [5.0, 5.0]), (220, [5.0, 5.0]), (240, [-1.0, 0.5])]
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<float>, rank int, v int")
     got = {}
-    for r in ann.search(df, part_rows=1).collect():
+    for r in ann.search(df, least_rows=1, slice_rows=3, query_rows=2).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
     vectors = {i: v for i, v in rows if i is not None and (i < 200 or i in (220, 240))}
     assert {q: [i for _, i in sorted(h)] for q, h in got.items()} == exact_nearest(vectors, 20, 20)

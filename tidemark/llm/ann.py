@@ -209,14 +209,15 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def search(rows: DataFrame, query_every: int = 20, k: int = 20, part_rows: int = 512, most_parts: int = 256,
-           sample: int = 8192, recall: float = 0.95, slice_rows: int = 4096, id_col: str = "vec_id",
+def search(rows: DataFrame, query_every: int = 20, k: int = 20, parts: int = 32, least_rows: int = 64,
+           sample: int = 8192, recall: float = 0.95, slice_rows: int = 65_536, query_rows: int = 4096, id_col: str = "vec_id",
            vector_col: str = "embedding") -> DataFrame:
     """The ``k`` nearest by inner product found for every vector whose id is divisible by ``query_every``.
 
     Returns ``query_id, rank, vec_id, score``; ranks go by score, ties by the smaller id. ``sample`` bounds the
-    vectors the classifiers are fitted on; all vectors are indexed. There is a part for ``part_rows`` distinct vectors, at
-    most ``most_parts``. A query searches as many as it takes to reach ``recall`` of the neighbours in the sample, and to
+    vectors the classifiers are fitted on; all vectors are indexed. There are ``parts`` parts, fewer where they would hold
+    under ``least_rows`` distinct vectors; a part gives a query its ``k`` best, so what is passed on grows with the
+    queries alone until a part exceeds ``slice_rows``. A query searches as many as it takes to reach ``recall`` of the neighbours in the sample, and to
     see ``k`` candidates: few where vectors are clustered, most where they have no structure. Fewer candidates than
     ``k`` are all returned. A table without valid vectors gives no rows.
     """
@@ -230,7 +231,7 @@ def search(rows: DataFrame, query_every: int = 20, k: int = 20, part_rows: int =
     picked = distinct.orderBy(F.xxhash64("v"), "v").select("v").limit(sample).toPandas()
     x = np.array(picked["v"].tolist())
     dim = x.shape[1]
-    index = train(x, min(most_parts, -(-count // part_rows)), recall)
+    index = train(x, min(parts, -(-count // least_rows)), recall)
     m = index.place.b2.shape[0]
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +260,7 @@ def search(rows: DataFrame, query_every: int = 20, k: int = 20, part_rows: int =
     probing = vectors.where(F.col("vec_id") % query_every == 0).mapInArrow(routed, "query_id long, v array<double>, part int")
     probing = cut_lineage(probing, "probes")
     asked = {r.part: r["count"] for r in probing.groupBy("part").count().collect()}
-    q_slices = [max(1, -(-asked.get(p, 0) // slice_rows)) for p in range(m)]
+    q_slices = [max(1, -(-asked.get(p, 0) // query_rows)) for p in range(m)]
 
     def dealt(df: DataFrame, own: list[int], other: list[int], key: str, mine: str, theirs: str) -> DataFrame:
         n, copies = (F.get(F.lit(c), F.col("part")) for c in (own, other))
