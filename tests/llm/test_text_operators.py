@@ -174,6 +174,22 @@ def test_redaction_replaces_every_span(spark):
     assert secrets.redact(docs).columns == docs.columns
 
 
+def test_pieces_of_a_run_beside_base_spans_are_scored(spark):
+    importable(spark)
+    rng = np.random.default_rng(8)
+    letters = np.array(list(secrets.ALPHABET[:62]))
+    key, other, access = "".join(rng.choice(letters, 40)), "".join(rng.choice(letters, 30)), "AKIA" + "Q7RT" * 4
+    text = f"é {other}/{access}/{key} and short-{access}+tail"
+    model = [1000] * secrets.WIDTH**2  # every transition looks random
+    row = secrets.find(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
+    found = [text[s.start : s.end] for s in row.markov]
+    assert found == [other + "/", "/" + key] and len(row.access) == 2
+    docs = [(i, " ".join(["mention", "another", "container"] * 20) + (f" password={''.join(rng.choice(letters, 24))}" if i % 3 else "")) for i in range(300)]
+    frame = spark.createDataFrame([*docs, (1000, text)], "doc_id long, text string")
+    clean = secrets.redact(frame).where("doc_id = 1000").first().text
+    assert key not in clean and other not in clean and access not in clean and clean.startswith("é [secret]")
+
+
 def test_secret_plan_has_no_python(spark):
     plan = registry.queries()["op7_secret_scan"](spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)

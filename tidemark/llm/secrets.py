@@ -1,9 +1,10 @@
 """Secret scans in DataFrame functions only: three base patterns, and character Markov models for what they miss.
 
 Two first-order models are counted from labelled strings: random strings (what the base patterns find) and ordinary
-identifiers (long words of documents without such a find). A run of ``LONG`` or more identifier characters outside the
-base spans is added when the log-likelihood ratio of its transitions exceeds a margin per transition. The ratios form a
-table of 67 x 67 numbers, whatever the corpus.
+identifiers (long words of documents without such a find). A run of identifier characters, or what the base spans leave
+of it in pieces of ``LONG`` or more, is added when the log-likelihood ratio of its transitions exceeds a margin per
+transition. The ratios form a table of 67 x 67 numbers, whatever the
+corpus.
 """
 
 from __future__ import annotations
@@ -129,10 +130,28 @@ def ratio(string: Column, model: list[int]) -> Column:
     return F.aggregate(F.filter(F.split(string, ""), lambda c: c != ""), zero, step, lambda acc: acc["sum"])
 
 
+def outside(runs: Column, base: Column) -> Column:
+    """What the base spans leave of the runs, in pieces of ``LONG`` characters or more."""
+
+    def pieces(run: Column) -> Column:
+        cuts = F.array_sort(F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])))
+
+        def piece(start: Column, end: Column) -> Column:
+            own = F.struct(start.alias("start"), run["kind"].alias("kind"), end.alias("end"))
+            return F.when(end - start >= LONG, F.array(own)).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+        def step(acc: Column, b: Column) -> Column:
+            return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.concat(acc["out"], piece(acc["at"], b["start"])).alias("out"))
+
+        start = F.struct(run["start"].alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+        return F.aggregate(cuts, start, step, lambda acc: F.concat(acc["out"], piece(acc["at"], run["end"])))
+
+    return F.flatten(F.transform(runs, pieces))
+
+
 def added(text: Column, base: Column, model: list[int], margin: float) -> Column:
-    """Spans of long runs outside the base spans that look more random than ordinary."""
-    runs = matches(text, RUN, 1, LONG, len(KINDS))
-    free = F.filter(runs, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    """Spans of long runs, or of their pieces outside the base spans, that look more random than ordinary."""
+    free = outside(matches(text, RUN, 1, LONG, len(KINDS)), base)
     fits = F.filter(free, lambda s: ratio(F.substring(text, s["start"] + 1, s["end"] - s["start"]), model)
                     > (s["end"] - s["start"] - 1) * round(MILLI * margin))
     return gated(text, RUN, fits)
