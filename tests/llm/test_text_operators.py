@@ -140,6 +140,19 @@ def test_secrets_on_the_table(spark):
         assert set(filter(None, listed.split(","))) <= set(r.spans.split(","))
 
 
+def test_language_is_learned_from_whole_texts(spark):
+    importable(spark)
+    rows = [(i, f"{'same header ' * 12} " + f"body{'xyz'[i % 3]} " * (40 + i) + "tail " * 20, "en") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for chars in (12_000, 60):  # the share of a text; a window of a text
+        model = language.learn(docs, 400 if chars > 60 else 1, chars)
+        assert model == language.learn(docs, 400 if chars > 60 else 1, chars)
+        assert model.langs == ("en",) and len(model.texts[0]) == chars
+        if chars > 60:
+            assert model.texts[0].count("body") > model.texts[0].count("header") and "tail" in model.texts[0]
+    assert len(language.learn(docs, 400, 10**7).texts[0]) == sum(len(language.folded(t)) for i, t, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1)
+
+
 def test_secrets_hard_rows(spark):
     got = secrets.scan(hard(spark)).collect()
     assert sorted((r.doc_id or 0, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in got) == sorted(

@@ -149,25 +149,32 @@ def learn(docs: DataFrame, rows: int = 400, chars: int = 48_000) -> Model:
 
     Rows with a null id, language or text and those of the held-out fold are left out. The ids are those with the
     smallest hashes, ranked in salted groups first, without their texts; an id with several texts has the smallest.
-    Each text gives the same share, from its start on, before what is missing is filled up from the longer ones.
+    Each text gives the same share, from a place in the whole text that the hash of its id sets, before what is missing
+    is filled up from the longer ones. Of a text of more than ``chars`` characters a window from such a place is fetched.
     """
     ids = docs.where("lang is not null and text is not null and doc_id is not null").where(fold(F.col("doc_id"), 3) != 1)
     ids = ids.select("doc_id", "lang").distinct().withColumn("h", F.xxhash64("doc_id"))
     for group in (["lang", F.pmod("h", F.lit(256))], ["lang"]):
         ranked = Window.partitionBy(*group).orderBy("h", "doc_id")
         ids = ids.withColumn("at", F.row_number().over(ranked)).where(F.col("at") <= rows)
-    texts = docs.select("doc_id", "lang", F.substring("text", 1, chars).alias("text")).where("text is not null")
-    texts = texts.join(ids, ["doc_id", "lang"]).groupBy("lang", "at").agg(F.min("text").alias("text"))
-    by: dict[str, list[str]] = {}
+    texts = docs.select("doc_id", "lang", "text").where("text is not null").join(ids, ["doc_id", "lang"])
+    texts = texts.groupBy("lang", "at", "doc_id").agg(F.min("text").alias("text"))
+    begin, place = (F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(1 << 31)) for k in (1, 2))
+    begin = F.pmod(begin, F.greatest(F.length("text") - chars + 1, F.lit(1))).cast("int")
+    texts = texts.select("lang", "at", F.substring("text", begin + 1, F.lit(chars)).alias("text"), place.alias("place"))
+    by: dict[str, list[tuple[str, int]]] = {}
     for r in sorted(texts.collect(), key=lambda r: (r.lang, r.at)):
-        by.setdefault(r.lang, []).append(folded(r.text))
+        by.setdefault(r.lang, []).append((folded(r.text), r.place))
     langs = tuple(sorted(by))
     return Model(langs, tuple(reference(by[k], chars) for k in langs))
 
 
-def reference(texts: list[str], chars: int) -> str:
+def reference(texts: list[tuple[str, int]], chars: int) -> str:
+    """The shares of all texts, each from its place modulo the places there are, then what the shares leave."""
     share = -(-chars // max(1, len(texts)))
-    head, rest = "".join(t[:share] for t in texts), "".join(t[share:] for t in texts)
+    starts = [place % max(1, len(t) - share + 1) for t, place in texts]
+    head = "".join(t[a : a + share] for (t, _), a in zip(texts, starts, strict=True))
+    rest = "".join(t[:a] + t[a + share :] for (t, _), a in zip(texts, starts, strict=True))
     return (head + rest)[:chars]
 
 
