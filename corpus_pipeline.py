@@ -26,24 +26,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id.
+    """One row of each group of near copies stays: the one with the smallest id, null last, then hash of the text.
 
-    Rows of one id go or stay together; of those that stay, with words in them, the one with the smallest text remains.
-    Documents without words and those without id are no copies of anything and all stay.
+    A row goes only if its own text is a copy, whatever else its id has. Of rows with the same id and text one stays.
+    Documents without words are no copies of anything and all stay.
     """
     importable(spark)
-    found = cut_lineage(jaccard.similar_components(docs).where("n_shingles > 0 and doc_id is not null"), "near-copies")
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    again = cut_lineage(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    if again.isEmpty():
-        return kept
-    full = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    some = kept.join(again, "doc_id", "left_semi").where(full)
-    least = F.struct("text", *[F.col(f"`{c}`") for c in docs.columns if c != "text"])
-    chosen = some.groupBy("doc_id").agg(F.min(least).alias("row")).select("row.*").select(docs.columns)
-    once = kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").where(~full))
-    return once.unionByName(chosen).select(docs.columns)
+    found = cut_lineage(jaccard.row_components(docs).where("n_shingles > 0"), "near-copies")
+    row = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "mark")
+    first = found.groupBy("component").agg(F.min(row).alias("first"))
+    first = first.select(F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("mark"))
+    # Rows of one key have one text, so a key stays or goes as a whole.
+    keys = found.groupBy("doc_id", "mark").count().alias("k")
+    key = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.mark") == F.col(f"{b}.mark"))
+    gone = cut_lineage(keys.join(first.alias("f"), key("k", "f"), "left_anti").select("doc_id", "mark"), "copies").alias("g")
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark")).alias("d")
+    kept = marked.join(gone, key("d", "g"), "left_anti")
+    again = cut_lineage(keys.where("count > 1").select("doc_id", "mark"), "repeated-rows").alias("r")
+    if not again.isEmpty():
+        once, some = (kept.alias("d").join(again, key("d", "r"), how) for how in ("left_anti", "left_semi"))
+        kept = once.select("row").unionByName(some.groupBy("doc_id", "mark").agg(F.min("row").alias("row")).select("row"))
+    return kept.select("row.*")
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

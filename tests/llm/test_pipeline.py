@@ -104,3 +104,17 @@ def test_stages_on_hard_rows(spark, tmp_path):
     docs = spark.read.parquet(str(tmp_path / "hard"))
     kept = Counter(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, SMALL).collect())
     assert kept == Counter(dict.fromkeys([i for i, *_ in HARD], 1))
+
+
+def test_rows_go_only_if_their_own_text_is_a_copy(spark, tmp_path):
+    texts = {k: " ".join(f"{k}{j}" for j in range(30)) for k in "abcdef"}
+    near = {k: t + " more" for k, t in texts.items()}
+    rows = [(1, texts["a"]), (2, near["a"]), (2, texts["b"]), (2, texts["c"]), (2, texts["c"]), (3, near["b"]), (None, near["c"]),
+            (None, texts["d"]), (None, near["d"]), (None, texts["e"]), (None, texts["e"]), (4, texts["f"]), (4, near["f"]), (5, ""), (5, None), (None, " ")]
+    importable(spark).createDataFrame([(i, t, len(t or "")) for i, t in rows], "doc_id long, text string, n_chars long").write.parquet(str(tmp_path / "d"))
+    got = corpus_pipeline.drop_near_copies(spark, spark.read.parquet(str(tmp_path / "d")), SMALL)
+    assert got.columns == ["doc_id", "text", "n_chars"]
+    kept = Counter((r.doc_id, r.text) for r in got.collect())
+    assert [kept[x] for x in [(1, texts["a"]), (2, texts["b"]), (2, texts["c"]), (None, texts["e"]), (5, ""), (5, None), (None, " ")]] == [1] * 7
+    assert kept[None, texts["d"]] + kept[None, near["d"]] == 1 == kept[4, texts["f"]] + kept[4, near["f"]]
+    assert sum(kept.values()) == 9
