@@ -1,19 +1,21 @@
 """Streams over several files and restarts against their batch twins."""
 
 import random
-from datetime import datetime, timedelta
+import time
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.headers import headers_map
 from tidemark.operators import quality, reliability, sagas, windows, words
 from tidemark.operators.records import ROUTER_DLQ, enrich_vip
 from tidemark.plans.views import Tables
 from tidemark.sources import rules as rulesets
 from tidemark.sources.log import read_log, stream_log, write_log
 from tidemark.sources.sinks import read_versioned
-from tidemark.streaming import jobs, runner
+from tidemark.streaming import jobs, retries, runner
 
 SF = "/root/testdata/sf0.001"
 T0 = datetime(2024, 1, 1)
@@ -219,3 +221,95 @@ def test_stream_of_a_table_in_many_files(spark, tables, tmp_path):
     out = runner.appended(Tables(spark, str(tmp_path)).stream("events").select("event_id"), "many")
     assert out.count() == tables.table("events").count()
     assert runner.appended(tables.stream("events").select("event_id"), "one").count() == out.count()
+
+
+# Retry chain as staged streams
+
+
+SHORT = [
+    reliability.Stage("payments", 0, "payments-retry-30s"),
+    reliability.Stage("payments-retry-30s", 30, "payments-retry-5m"),
+    reliability.Stage("payments-retry-5m", 300, ""),
+]
+
+
+def settles(value, retries):
+    """Transient until the call that the text asks for; 'bad' fails for good."""
+    needed = F.coalesce(value.try_cast("int"), F.lit(0))
+    cls = F.when(value == "bad", "permanent").when(retries + 1 >= needed, "ok").otherwise("transient")
+    return F.struct(cls.alias("cls"), F.when(cls != "ok", F.concat(F.lit("call "), (retries + 1).cast("string"))).alias("message"))
+
+
+def plain_retries(rows, stages):
+    """Every record carried through the chain by a loop: offset -> outcome, topic, retry count, previous topic, time."""
+    by, out = {s.topic: s for s in stages}, {}
+    for offset, topic, value, at in rows:
+        retries, previous = 0, None
+        while True:
+            stage = by[topic]
+            at += timedelta(seconds=stage.delay_s)
+            needed = int(value) if value.isdigit() else 0
+            if value != "bad" and retries + 1 >= needed:
+                out[offset] = ("ok", topic, str(retries) if retries else None, previous, at)
+                break
+            retries, previous = retries + 1, topic
+            if value == "bad" or not stage.next_topic:
+                out[offset] = ("dlq", "payments-dlq", str(retries), previous, at)
+                break
+            topic = stage.next_topic
+    return out
+
+
+def retry_records(spark, rows):
+    data = [(t, o % 3, o, None if o % 5 == 0 else f"k{o}", v, [], at) for o, t, v, at in rows]
+    return spark.createDataFrame(data, ARRIVING)
+
+
+ARRIVING = "topic string, partition int, offset long, key string, value string, headers array<struct<key:string,value:binary>>, timestamp timestamp"
+
+
+def ends(df):
+    get = lambda n: F.col("m")[n]
+    rows = df.withColumn("m", headers_map("headers")).select(
+        "offset", "outcome", "final_topic", get("retry.count"), get("previous.topic"), "at", "source_topic").collect()
+    assert len({r.offset for r in rows}) == len(rows)
+    return {r[0]: tuple(r[1:6]) for r in rows}
+
+
+def test_staged_retries_equal_a_plain_loop(spark, tmp_path):
+    rnd = random.Random(4)
+    rows = [(i, rnd.choice(["payments"] * 3 + ["payments-retry-30s"]), rnd.choice(["1", "2", "3", "4", "9", "bad", "x"]),
+             T0 + timedelta(seconds=i)) for i in range(200)]
+    df = retry_records(spark, rows)
+    want = plain_retries(rows, SHORT)
+    assert want[next(i for i, t, v, _ in rows if t == "payments" and v == "2")][:3] == ("ok", "payments-retry-30s", "1")
+    assert ends(reliability.staged_retry(df, SHORT, "payments-dlq", settles)) == want
+    stream, path = in_files(df, str(tmp_path / "in"), "offset", 3), str(tmp_path / "out")
+    retries.run_stages(stream, SHORT, path, "payments-dlq", settles)
+    assert ends(retries.retried(spark, SHORT, path, "payments-dlq")) == want
+
+
+def test_handler_by_value_gives_the_closed_form(spark, tables, tmp_path):
+    stages, dlq = reliability.PAYMENT_STAGES, reliability.DLQ_TOPIC
+    closed = reliability.retry_pipeline(tables.pay, stages, dlq)
+    assert same(reliability.staged_retry(tables.pay, stages, dlq).drop("key"), closed.drop("key"))
+
+
+def test_records_wait_in_state_and_survive_a_restart(spark, tmp_path):
+    """A record that is not due stays in state over runs of its stage, and is handled when it is."""
+    stages = [reliability.Stage("payments", 0, "slow"), reliability.Stage("slow", 25, "slower"), reliability.Stage("slower", 1, "")]
+    now = datetime.now(UTC).replace(tzinfo=None, microsecond=0)
+    rows = [(1, "payments", "2", now), (2, "payments", "3", now), (3, "payments", "9", now - timedelta(days=1)), (4, "payments", "1", now)]
+    df, path = retry_records(spark, rows), str(tmp_path / "out")
+    stream = in_files(df, str(tmp_path / "in"), "offset", 2)
+    retries.run_stages(stream, stages, path, "payments-dlq", settles)
+    early = ends(retries.retried(spark, stages, path, "payments-dlq"))
+    want = plain_retries(rows, stages)
+    assert early == {i: want[i] for i in (3, 4)}
+    # A restart between stages: only the first two run, then only the last, on the old checkpoints.
+    while datetime.now(UTC).replace(tzinfo=None) < now + timedelta(seconds=27):
+        time.sleep(1)
+    retries.run_stages(stream, stages, path, "payments-dlq", settles, only=range(2))
+    assert set(ends(retries.retried(spark, stages, path, "payments-dlq"))) == {1, 3, 4}
+    retries.run_stages(stream, stages, path, "payments-dlq", settles, only=range(2, 3))
+    assert ends(retries.retried(spark, stages, path, "payments-dlq")) == want

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from inspect import signature
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -71,18 +72,25 @@ def classify_payment(value: str | Column = "value") -> Column:
     return bound(parsed, judge)
 
 
-# Handlers by name: value column to a struct of cls and message.
-HANDLERS: dict[str, Callable[[Column], Column]] = {"payment": classify_payment}
+# A handler takes the value column, or the value and the number of earlier retries, and gives a struct of cls and message.
+Handler = Callable[..., Column]
+HANDLERS: dict[str, Handler] = {"payment": classify_payment}
 
 
-def register_handler(name: str, fn: Callable[[Column], Column]) -> None:
+def register_handler(name: str, fn: Handler) -> None:
     """Add a handler; a column expression, or a pandas UDF returning the same struct."""
     HANDLERS[name] = fn
 
 
-def handled(df: DataFrame, handler: str = "payment") -> DataFrame:
-    """Add ``cls`` and ``message`` by the named handler."""
-    return with_once(df, "__h", HANDLERS[handler](F.col("value"))).select(
+def called(handler: str | Handler) -> Column:
+    """One call of a handler, given by name or itself, on the columns of a record."""
+    fn = HANDLERS[handler] if isinstance(handler, str) else handler
+    return fn(F.col("value"), _retries()) if len(signature(fn).parameters) > 1 else fn(F.col("value"))
+
+
+def handled(df: DataFrame, handler: str | Handler = "payment") -> DataFrame:
+    """Add ``cls`` and ``message`` by the handler."""
+    return with_once(df, "__h", called(handler)).select(
         *df.columns, F.col("__h.cls").alias("cls"), F.col("__h.message").alias("message")
     )
 
@@ -190,6 +198,67 @@ def retry_pipeline(df: DataFrame, stages: list[Stage], dlq: str, handler: str =
     )
 
 
+def _stage_time(stages: list[Stage], failing: Column) -> Column:
+    """When a record that arrived ``at`` a stage topic is handled; failures are stamped in whole seconds."""
+    delay = lookup(F.col("topic"), {s.topic: s.delay_s for s in stages}, F.lit(0))
+    return F.when(failing | (delay > 0), F.timestamp_seconds(F.unix_timestamp("at") + delay)).otherwise(F.col("at"))
+
+
+def handle_stage(
+    arrived: DataFrame, stages: list[Stage], dlq: str, handler: str | Handler = "payment"
+) -> DataFrame:
+    """One call of the handler for records whose ``at`` is their arrival on a stage topic.
+
+    Adds ``cls``, ``message``, ``outcome`` (ok, retry or dlq) and ``target``, the topic a failed record goes to. ``at``
+    becomes the time of the call; headers change on failure only.
+    """
+    cur = handled(arrived, handler)
+    failing = F.col("cls") != "ok"
+    target, _reason = _next_hop(stages, dlq, F.col("topic"))
+    cur = cur.withColumn("at", _stage_time(stages, failing)).withColumn("source_topic", F.col("topic"))
+    headers = put_headers("headers", _failure_headers(F.col("topic"), _retries() + 1, F.col("at"), True))
+    return cur.select(
+        *[c for c in arrived.columns if c not in ("headers", "at")],
+        F.when(failing, headers).otherwise(F.col("headers")).alias("headers"),
+        "at", "cls", "message",
+        F.when(~failing, "ok").when(target == dlq, "dlq").otherwise("retry").alias("outcome"),
+        F.when(failing, target).alias("target"),
+    )
+
+
+def staged_retry(df: DataFrame, stages: list[Stage], dlq: str, handler: str | Handler = "payment") -> DataFrame:
+    """:func:`retry_pipeline` for a handler that looks at the number of earlier retries.
+
+    Every stage calls the handler again for the records still open; stages are few, so they are unrolled into
+    projections and nothing is shuffled. Rows as in :func:`retry_pipeline`; a record that succeeds on a later stage
+    has that stage's topic and the time of that call.
+    """
+    own = [c for c in df.columns if c not in ("topic", "headers")]
+    cur = df.select("*", F.col("topic").alias("source_topic"), F.col("timestamp").alias("at"), F.lit("retry").alias("outcome"),
+                    F.lit(None).cast("string").alias("cls"), F.lit(None).cast("string").alias("message"))
+    for _ in stages:
+        open_ = F.col("outcome") == "retry"
+        cur = with_once(cur, "__h", F.when(open_, called(handler)))
+        failing = F.col("__h.cls") != "ok"
+        judged = cur.withColumns({
+            "__entry": F.col("source_topic"), "source_topic": F.col("topic"),
+            "cls": F.when(open_, F.col("__h.cls")).otherwise(F.col("cls")),
+            "message": F.when(open_, F.col("__h.message")).otherwise(F.col("message"))})
+        judged = judged.withColumn("at", F.when(open_, _stage_time(stages, failing)).otherwise(F.col("at")))
+        target, _reason = _next_hop(stages, dlq, F.col("topic"))
+        headers = put_headers("headers", _failure_headers(F.col("topic"), _retries() + 1, F.col("at"), True))
+        judged = judged.withColumn("__target", F.when(open_ & failing, target).otherwise(F.col("topic")))
+        cur = judged.select(
+            *own,
+            F.col("__target").alias("topic"),
+            F.when(open_ & failing, headers).otherwise(F.col("headers")).alias("headers"),
+            F.col("__entry").alias("source_topic"),
+            "at",
+            F.when(~open_, F.col("outcome")).when(~failing, "ok").when(F.col("__target") == dlq, "dlq").otherwise("retry").alias("outcome"),
+            "cls", "message")
+    return cur.select(*own, "source_topic", F.col("topic").alias("final_topic"), "outcome", "headers", "cls", "message", "at")
+
+
 def dead_letters(done: DataFrame, dlq: str) -> DataFrame:
     """Dead-letter log of a finished pipeline, stamped one day after the source record."""
     return done.filter("outcome = 'dlq'").select(

@@ -13,9 +13,9 @@ from ..session import work_dir
 from ..sources import rules as rulesets
 from ..sources.log import write_log
 from ..sources.sinks import read_versioned
-from ..streaming import jobs, runner
+from ..streaming import jobs, retries, runner
 from .q_cdc import FINAL_SQL
-from .q_reliability import P12_SQL, Z11_SQL, Z19_SQL, z11_columns
+from .q_reliability import P12_SQL, SETTLING_SQL, Z11_SQL, Z19_SQL, settling_payment, z11_columns
 from .q_search import COUNT_SQL
 from .q_txn_saga import J13_SQL, Z09_SQL, Z10_SQL
 from .q_windows import HOUR, Z01_SQL, Z02_SQL, Z03_SQL, Z05_SQL, Z06_SQL, started
@@ -69,10 +69,20 @@ def _(t):
     return runner.updated(sagas.saga_conformance_running(Tables.as_saga(t.stream("orders"))), "z10", ["saga_id"])
 
 
+def staged(t, handler, name):
+    path = work_dir(t.spark, name)
+    retries.run_stages(Tables.as_pay(t.stream("orders")), rel.PAYMENT_STAGES, path, rel.DLQ_TOPIC, handler)
+    return z11_columns(retries.retried(t.spark, rel.PAYMENT_STAGES, path, rel.DLQ_TOPIC))
+
+
 @query("z11_retry_pipeline", Z11_SQL)
 def _(t):
-    pay = Tables.as_pay(t.stream("orders"))
-    return runner.appended(z11_columns(rel.retry_pipeline(pay, rel.PAYMENT_STAGES, rel.DLQ_TOPIC)), "z11")
+    return staged(t, "payment", "z11")
+
+
+@query("z11_settling_pipeline", SETTLING_SQL)
+def _(t):
+    return staged(t, settling_payment, "z11-settling")
 
 
 @query(
