@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.binary import avro_long_len, encode_u64, proto_int_len, varint_len
 from ..functions.text import ACCENTED, DIGRAPHS, FOLDED, analyze_text, tokenize
-from ..operators import words
+from ..operators import search, words
+from ..session import work_dir
 from .registry import query
 
 QUERY = "données le système"
@@ -88,6 +89,13 @@ def _(t):
     return words.match_top_k(t.docs, QUERY, 50)
 
 
+@query("t03_match_indexed", _terms_sql())
+def _(t):
+    path = work_dir(t.spark, "search-index")
+    search.build_index(t.docs, path)
+    return search.match_index(t.spark, path, QUERY, 50)
+
+
 def changelog(t):
     """Word changelog as records: the running count per word, tombstones and values of a wrong length."""
     counted = words.word_changelog(t.docs).select(
