@@ -15,7 +15,7 @@ from functools import reduce
 from itertools import permutations
 from math import factorial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FILTERS = "ABCDE"
@@ -59,11 +59,10 @@ def failed_sets(docs: DataFrame, labels: DataFrame) -> DataFrame:
     groups = per_id.groupBy(*key).agg(
         F.sum("n").alias("n"), F.sum(F.when(~has, F.col("n")).otherwise(0)).alias("without"),
         F.min(F.when(has, F.struct("doc_id", "n"))).alias("first"))
-    # At most one row per part and label of a text, so no group is large here.
-    firsts = groups.groupBy("same").agg(F.min("first.doc_id").alias("doc_id"))
-    at_first = F.when(F.col("first.doc_id") == F.col("f.doc_id"), F.col("first.n")).otherwise(0)
-    groups = groups.alias("g").join(firsts.alias("f"), F.col("g.same") == F.col("f.same"), "left").select(
-        "g.base", "g.part", "g.q", "g.t", "g.n", (F.col("without") + at_first).alias("once"))
+    # At most one row per part and label of a text, so no window is large here.
+    smallest = F.min("first.doc_id").over(Window.partitionBy("same"))
+    at_first = F.when(F.col("first.doc_id") == F.col("smallest"), F.col("first.n")).otherwise(0)
+    groups = groups.withColumn("smallest", smallest).select(*key[1:], "n", (F.col("without") + at_first).alias("once"))
     copy = 1 << (len(FILTERS) - 1)
     both = F.array(F.struct(F.col("base").alias("fails"), F.col("once").alias("n")),
                    F.struct((F.col("base") + copy).alias("fails"), (F.col("n") - F.col("once")).alias("n")))
