@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import boosting, dom
+from .common import blocks
 
 FRAME, MAIN, OUT = 0, 1, 2
 SPACE = re.compile(r"\s+")
@@ -353,8 +354,11 @@ def learn(pages: DataFrame, sample: int = 256, most: int = 100_000) -> Model | N
     Equal pages count once. At most ``sample * most`` characters travel to the driver, a few MB on ordinary pages.
     """
     rows = pages.select("html").where(F.col("html").isNotNull() & (F.length("html") <= most))
-    rows = rows.select(F.xxhash64("html").alias("h"), "html").groupBy("h").agg(F.min("html").alias("html"))
-    return fit([r.html for r in rows.orderBy("h").limit(sample).collect()])
+    rows = rows.select(F.xxhash64("html").alias("h"), "html")
+    # At most ``sample`` numbers, so the pages stay where they are.
+    picked = rows.select("h").distinct().orderBy("h").limit(sample)
+    found = rows.join(F.broadcast(picked), "h").groupBy("h").agg(F.min("html").alias("html")).collect()
+    return fit([r.html for r in sorted(found, key=lambda r: r.h)])
 
 
 def main_text(pages: DataFrame, sample: int = 256) -> DataFrame:
@@ -367,8 +371,7 @@ def main_text(pages: DataFrame, sample: int = 256) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            for part in blocks(batch, 2, 64, 1 << 20):
                 texts = extract([dom.read(h or "") for h in part.column(2).to_pylist()], model)
                 yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
