@@ -106,6 +106,24 @@ def test_stages_on_hard_rows(spark, tmp_path):
     assert kept == Counter(dict.fromkeys([i for i, *_ in HARD], 1))
 
 
+def test_stages_keep_columns_of_any_name_and_type(spark, tmp_path):
+    """Columns named like what the stages add, and a map column, come through by value."""
+    names = ["score", "predicted", "assign", "access", "hex", "markov", "hit", "row", "mark", "toxic_score", "component", "node"]
+    rows = [(i, t, "en", f"s{i or 0}", len(t or ""), {"k": i or 0}, *[f"{n}-{i}" for n in names]) for i, t, *_ in HARD]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, m map<string,int>, " + ", ".join(f"{n} string" for n in names)
+    importable(spark).createDataFrame(rows, schema).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    given = {tuple(r[6:]): r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        got = stage(spark, docs, SMALL)
+        assert got.columns == docs.columns
+        for r in got.collect():
+            was = given[tuple(r[6:])]
+            assert (r.doc_id, r.lang, r.source, r.m) == (was.doc_id, was.lang, was.source, was.m), name
+            if name in ("toxicity", "n-gram Jaccard join"):
+                assert r == was
+
+
 def test_rows_go_only_if_their_own_text_is_a_copy(spark, tmp_path):
     texts = {k: " ".join(f"{k}{j}" for j in range(30)) for k in "abcdef"}
     near = {k: t + " more" for k, t in texts.items()}

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import blocks
 from .encoder import encoder
 
 RULES = ("majority", "first")
@@ -81,8 +82,7 @@ def attributed_counts(docs: DataFrame, tokenizer: str, sections: str | None = No
         enc = encoder(tokenizer)
         width = enc.token_bytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 400):
-                part = batch.slice(at, 400)
+            for part in blocks(batch, 1, 400):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 given = part.column(2).to_pylist() if sections else None
                 cols: list[list] = [[] for _ in NAMES]

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,9 +26,32 @@ def importable(spark: SparkSession) -> SparkSession:
     paths = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in paths.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, paths] if paths else [root])
+    # Texts differ in length by orders of magnitude, so batches are bounded by bytes and not by rows alone.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     return spark
 
 
+def blocks(batch: pa.RecordBatch, column: int | str, rows: int = 2000, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most ``rows`` rows whose texts in ``column`` have at most ``size`` bytes, or one row."""
+    values = batch.column(column)
+    length = np.asarray(pa.compute.fill_null(pa.compute.binary_length(values), 0)).astype(np.int64)
+    ends = np.cumsum(length)
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        end = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + size, "right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have in any case, made from ``name``."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

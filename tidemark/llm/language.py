@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fold
+from .common import blocks, fold
 
 BLOCK = 1024
 BLANKS, DIGITS = re.compile(r"\s+"), re.compile(r"\d+")
@@ -188,8 +188,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for part in blocks(batch, "text"):
                 texts = part.column("text").to_pylist()
                 able = [k for k, t in enumerate(texts) if t and model.langs and any(map(str.isalpha, t))]
                 names, scores = np.full(len(texts), "und", object), np.zeros(len(texts))

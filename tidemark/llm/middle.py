@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORDS, mix64
+from .common import WORDS, blocks, mix64
 
 STARTS = re.compile(r"(?:^|(?<=[\x20\x09-\x0D]))[^\x20\x09-\x0D]")
 BLANK = frozenset(" \t\n\v\f\r")
@@ -189,8 +189,7 @@ def fill_in_middle(docs: DataFrame, seed: int = 42, rate: int = 50, spm: int = 8
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = Chunks()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in blocks(batch, text_at, 500):
                 out = []
                 for doc_id, text in zip(part.column(id_at).to_pylist(), part.column(text_at).to_pylist(), strict=True):
                     f = transform(doc_id, text or "", chunks, seed, rate, spm)

@@ -179,7 +179,10 @@ def scan(docs: DataFrame, margin: float = 0.5) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[secret]", margin: float = 0.5) -> DataFrame:
     """``docs`` with every span of its texts replaced by ``mark``, and ``n_chars`` set anew where something was."""
-    names, found = docs.columns, find(docs, None, margin)
+    # The other columns travel as one, so that their names can't clash with those of the spans.
+    row = [c for c in docs.columns if c != "text"]
+    packed = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in row]).alias("row"))
+    found = find(packed, learn(docs), margin)
     spans = ordered(*[F.col(k) for k in (*KINDS, "markov")])
     text = F.col("text")
 
@@ -192,8 +195,9 @@ def redact(docs: DataFrame, mark: str = "[secret]", margin: float = 0.5) -> Data
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     clean = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     some = F.size(spans) > 0
-    found = found.withColumn("text", F.when(some, clean).otherwise(text)).withColumn("hit", some)
-    if "n_chars" in names:
+    found = found.select("row", F.when(some, clean).otherwise(text).alias("text"), some.alias("hit"))
+    kept = {c: F.col("row")[c] for c in row} | {"text": F.col("text")}
+    if "n_chars" in kept:
         kind = docs.schema["n_chars"].dataType
-        found = found.withColumn("n_chars", F.when(F.col("hit"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return found.select([F.col(f"`{c}`") for c in names])
+        kept["n_chars"] = F.when(F.col("hit"), F.length("text").cast(kind)).otherwise(kept["n_chars"])
+    return found.select([kept[c].alias(c) for c in docs.columns])

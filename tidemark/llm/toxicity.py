@@ -95,15 +95,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 12_000, bits: int =
     return fit([(np.frombuffer(r.places, "<u4"), r.y) for r in got], bits)
 
 
-def score(docs: DataFrame, weights: Weights, threshold: float = 0.3) -> DataFrame:
-    """All rows and columns of ``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
+def score(docs: DataFrame, weights: Weights, threshold: float = 0.3, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """All rows and columns of ``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on), or other ``names``.
 
-    Only ``text`` is looked at; a null counts as empty and gets the score of the bias. Columns of ``docs`` named
-    ``score`` or ``predicted`` are replaced.
+    Only ``text`` is looked at; a null counts as empty and gets the score of the bias. Columns of ``docs`` with these
+    names are replaced.
     """
-    docs = docs.drop("score", "predicted")
+    docs = docs.drop(*names)
     at = docs.columns.index("text")
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << weights.bits)
@@ -117,7 +117,7 @@ def score(docs: DataFrame, weights: Weights, threshold: float = 0.3) -> DataFram
             scores = np.array(out, float)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
-                names=[*batch.schema.names, "score", "predicted"])
+                names=[*batch.schema.names, *names])
 
     return docs.mapInArrow(run, schema)
 
