@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard, mixing, packing, secrets, toxicity
-from tidemark.llm.common import importable, table
+from tidemark.llm.common import importable, table, unused
 from tidemark.llm.registry import tokenizer
 from tidemark.session import cut_lineage, prepare
 
@@ -22,7 +22,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are predicted toxic go. Learned from the labelled rows of ``docs``; null texts stay."""
     importable(spark)
     weights = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, weights).where("predicted = 0").select(docs.columns)
+    score, predicted = unused(docs, "toxic_score"), unused(docs, "toxic_predicted")
+    scored = toxicity.score(docs, weights, names=(score, predicted))
+    return scored.where(F.col(predicted) == 0).select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +48,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     again = cut_lineage(keys.where("count > 1").select("doc_id", "mark"), "repeated-rows").alias("r")
     if not again.isEmpty():
         once, some = (kept.alias("d").join(again, key("d", "r"), how) for how in ("left_anti", "left_semi"))
-        kept = once.select("row").unionByName(some.groupBy("doc_id", "mark").agg(F.min("row").alias("row")).select("row"))
+        # Which of them does not depend on what columns there are: the least hash of the row as text.
+        one = F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")
+        kept = once.select("row").unionByName(some.groupBy("doc_id", "mark").agg(one).select("row"))
     return kept.select("row.*")
 
 
