@@ -8,6 +8,7 @@ the rest are shipped with the scoring function, at most ``2 ** bits`` of them wh
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -42,6 +43,15 @@ def places(text: str | None, bits: int) -> np.ndarray:
     return (mix64(np.concatenate([h, pairs + KINDS[1], skips + KINDS[2]])) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def packed(found: np.ndarray) -> bytes:
+    """Distinct places as compressed distances, less than half of their size."""
+    return zlib.compress(np.diff(np.unique(found), prepend=0).astype("<u4").tobytes(), 1)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(raw), "<u4"), dtype=np.uint32)
+
+
 def fit(examples: list[tuple[np.ndarray, int]], bits: int, epochs: int = 8, alpha: float = 1.5, beta: float = 1.0,
         l1: float = 8.0, l2: float = 0.02) -> Weights:
     """FTRL-proximal over examples of distinct places and a label, in the given order, ``epochs`` times.
@@ -85,14 +95,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 12_000, bits: int =
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(places(t, bits)).astype("<u4").tobytes() for t in batch.column("text").to_pylist()]
+            found = [packed(places(t, bits)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), batch.column("h"), batch.column("y"), pa.array(found, pa.binary())],
                 names=["doc_id", "h", "y", "places"])
 
-    got = rows.mapInArrow(hashed, "doc_id long, h long, y int, places binary").collect()
-    got = sorted(got, key=lambda r: (r.h, r.doc_id))
-    return fit([(np.frombuffer(r.places, "<u4"), r.y) for r in got], bits)
+    # In small pieces, of which the driver's JVM holds a few at a time.
+    found = rows.mapInArrow(hashed, "doc_id long, h long, y int, places binary").repartition(64)
+    got = sorted(found.collect(), key=lambda r: (r.h, r.doc_id))
+    return fit([(unpacked(r.places), r.y) for r in got], bits)
 
 
 def score(docs: DataFrame, weights: Weights, threshold: float = 0.3, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
