@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import key_partition, worker_for
 from ..functions.names import PREMIUM_PREFIX, premium_partition
 from ..sources.log import salted_key
-from .running import row_numbers, running
+from .running import PLACES, row_numbers, running
 
 MICROS = 1_000_000
 
@@ -83,7 +83,7 @@ def compact(log: DataFrame, now: Column, min_lag_s: int, delete_retention_s: int
 def retain(log: DataFrame, now: Column, max_age_s: int, max_bytes: int) -> DataFrame:
     """Records newer than ``max_age_s`` that are among the newest ``max_bytes`` of their partition."""
     sized = running(
-        log, ["topic", "partition"], ["offset"], {"newest_bytes": ("sum", F.col("bytes"))}, descending=True
+        log, ["topic", "partition"], ["offset"], {"newest_bytes": ("sum", F.col("bytes"))}, descending=True, span=PLACES
     )
     fresh = F.unix_timestamp(now) - F.unix_timestamp("timestamp") <= max_age_s
     return sized.filter(fresh & (F.col("newest_bytes") <= max_bytes))

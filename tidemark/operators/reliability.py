@@ -15,7 +15,7 @@ from ..functions.names import backoff, record_coord
 from ..schema import PAYMENT
 from .joins import first_per_key
 from .records import CHANNEL_TOPICS, classify_http, lookup
-from .running import running
+from .running import PLACES, running
 
 
 class Stage(NamedTuple):
@@ -378,7 +378,7 @@ def failure_runs(deliveries: DataFrame, trip_after: int, permanent_fails: bool)
     kind = classify_http("status")
     ok = (kind == "delivered") if permanent_fails else kind.isin("delivered", "permanent")
     flagged = deliveries.select("channel", "seq", ok.cast("long").alias("ok"))
-    counted = running(flagged, ["channel"], ["seq"], {"run": ("sum", F.col("ok"))})
+    counted = running(flagged, ["channel"], ["seq"], {"run": ("sum", F.col("ok"))}, span=PLACES)
     return (
         counted.filter("ok = 0")
         .groupBy("channel", "run")

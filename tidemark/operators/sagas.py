@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .running import running
+from .running import PLACES, running
 
 # Terminal events of the choreography.
 TERMINAL = ["shipment.scheduled", "payment.failed", "payment.refunded"]
@@ -162,7 +162,7 @@ def saga_orchestrator(messages: DataFrame) -> DataFrame:
     """
     opening = F.col("kind") == "place-order"
     # How many place-orders came so far, counted in chunks so that a long saga stays spread.
-    counted = running(messages, ["saga_id"], ["seq"], {"placed": ("sum", opening.cast("long"))})
+    counted = running(messages, ["saga_id"], ["seq"], {"placed": ("sum", opening.cast("long"))}, span=PLACES)
     acted = (
         counted.filter((opening & (F.col("placed") == 1)) | (~opening & (F.col("placed") > 0)))
         .select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .running import running
+from .running import PLACES, running
 
 
 def read_committed(log: DataFrame, markers: DataFrame) -> DataFrame:
@@ -44,5 +44,5 @@ def fence_stale_writers(writes: DataFrame, order: str = "txn_no") -> DataFrame:
     Of the writes with one order number the newest epoch counts as the first, so the older ones among them are fenced.
     """
     inside = writes.filter("txn_id IS NOT NULL").withColumn("__older", -F.col("epoch"))
-    newest = running(inside, ["txn_id"], [order, "__older"], {"newest_epoch": ("max", F.col("epoch"))})
+    newest = running(inside, ["txn_id"], [order, "__older"], {"newest_epoch": ("max", F.col("epoch"))}, span=PLACES)
     return newest.withColumn("fenced", F.col("epoch") < F.col("newest_epoch")).drop("newest_epoch", "__older")

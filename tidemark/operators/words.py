@@ -9,7 +9,7 @@ from ..functions.binary import decode_u64
 from ..functions.binding import with_once
 from ..functions.text import analyze_literal, analyze_text, tokenize
 from ..session import cut_lineage
-from .running import running
+from .running import PLACES, running
 
 
 def words(docs: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def word_changelog(docs: DataFrame, bits: int = 12) -> DataFrame:
     into chunks of offsets, so it never has to be sorted by one task.
     """
     return running(
-        words(docs), ["word"], ["offset", "pos"], {"n": ("count", None)}, lead=["partition"], bits=bits
+        words(docs), ["word"], ["offset", "pos"], {"n": ("count", None)}, lead=["partition"], bits=bits, span=PLACES
     )
 
 
