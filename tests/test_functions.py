@@ -3,6 +3,7 @@
 import hashlib
 import hmac
 import struct
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,13 +109,20 @@ def test_analyze_folds_accents(spark):
 def test_u64(spark):
     values = [b"\0" * 7 + b"\5", b"\x7f" + b"\xff" * 7, b"\xff" * 8, b"\0\0\0\1", None]
     df = spark.createDataFrame([(bytearray(v) if v is not None else None,) for v in values], "b binary")
-    assert [r[0] for r in df.select(binary.decode_u64("b")).collect()] == [5, 2**63 - 1, None, None, None]
+    assert [r[0] for r in df.select(binary.decode_u64("b")).collect()] == [5, 2**63 - 1, 2**64 - 1, None, None]
+    large = [(str(v), Decimal(v)) for v in (0, 2**63 - 1, 2**63, 2**64 - 2, 2**64 - 1)]
+    texts = spark.createDataFrame(large + [("18446744073709551616", None), ("-1", None), ("1" * 50, None), ("x", None), ("", None)], "t string, v decimal(20,0)")
+    round_trip = texts.withColumn("n", binary.to_u64(F.col("t"))).withColumn("b", binary.encode_u64("n")).withColumn("again", binary.decode_u64("b"))
+    for r in round_trip.collect():
+        assert r.n == r.v == r.again and r.b == (None if r.v is None else struct.pack(">Q", int(r.v)))
     round_trip = spark.range(0, 1000, 333).withColumn("b", binary.encode_u64("id")).select("id", binary.decode_u64("b").alias("n"))
     assert all(r.id == r.n for r in round_trip.collect())
 
 
 def test_event_time(spark):
     nanos = 1_704_067_200_123_456_789
+    late = spark.createDataFrame([(bytearray(struct.pack(">Q", 2**63 + 1000)),)], "h binary")
+    assert late.select(F.unix_micros(binary.decode_event_time("h"))).first()[0] == (2**63 + 1000) // 1000
     df = spark.createDataFrame([(bytearray(struct.pack(">Q", nanos)),), (bytearray(b"abc"),)], "h binary")
     got = [r[0] for r in df.select(F.unix_micros(binary.decode_event_time("h"))).collect()]
     assert got == [nanos // 1000, None]

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import cdc, contracts, joins, logs, metrics, quality, records, sagas, transactions, windows
+from tidemark.operators import cdc, contracts, joins, logs, metrics, quality, records, sagas, transactions, windows, words
 from tidemark.operators import reliability as rel
 from tidemark.schema import USER_IMAGE
 from tidemark.sources import log as source
@@ -227,6 +227,23 @@ def test_row_images_and_versions(spark):
     }
 
 
+def test_versions_are_unsigned(spark):
+    lsns = ["9223372036854775807", "9223372036854775808", '"18446744073709551615"', "18446744073709551616", '"-3"', '"x"']
+    parsed = envelopes(spark, *[f'{{"after":{{"id":1}},"op":"c","source":{{"lsn":{v},"ts_ms":7}}}}' for v in lsns])
+    rows = parsed.orderBy("offset").select(cdc.cdc_version(F.col("e.source")), cdc.version_error(F.col("e.source"))).collect()
+    assert [int(r[0]) for r in rows] == [2**63 - 1, 2**63, 2**64 - 1, 7, 7, 7]
+    assert [r[1] for r in rows] == [False, False, False, True, False, False]
+    images = cdc.cdc_row_image(parsed).select("image.id", "cdc_lsn", "offset", "_deleted")
+    assert cdc.replacing_final(images, "id", "cdc_lsn").first().offset == 2
+
+
+def test_restored_counters_are_unsigned(spark):
+    values = [("a", 1, 5), ("a", 2, 2**63), ("b", 1, 2**64 - 1), ("b", 2, 3), ("c", 1, 2**63), ("c", 2, None)]
+    rows = [(k, o, bytearray(v.to_bytes(8, "big")) if v is not None else None) for k, o, v in values]
+    got = words.restore_state(spark.createDataFrame(rows, "key string, offset long, value8 binary")).collect()
+    assert {(r.key, r.n, r.applied) for r in got} == {("a", 2**63, 2), ("b", 3, 2), ("c", None, 1)}
+
+
 def test_version_beyond_long_is_flagged(spark):
     parsed = envelopes(spark, '{"after":{"id":1},"op":"c","source":{"lsn":99999999999999999999,"ts_ms":4}}')
     r = parsed.select(cdc.cdc_version(F.col("e.source")), cdc.version_error(F.col("e.source"))).first()

@@ -6,24 +6,37 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Unsigned 64-bit numbers: BIGINT ends half way, so they are decimals of twenty digits.
+U64 = "decimal(20,0)"
+U64_MAX = (1 << 64) - 1
+
+
+def _u64(column: str) -> str:
+    return f"if(octet_length({column}) = 8, cast(conv(hex({column}), 16, 10) as {U64}), null)"
+
+
 def decode_u64(column: str) -> Column:
-    """Big-endian 8 bytes as BIGINT; other lengths and values from 2**63 on are null."""
+    """Big-endian 8 bytes as an unsigned number; other lengths are null."""
+    return F.expr(_u64(column))
+
+
+def encode_u64(column: str) -> Column:
+    """A number from 0 to 2**64 - 1 as big-endian 8 bytes; others are null."""
+    number = f"cast({column} as decimal(38,0))"
     return F.expr(
-        f"if(octet_length({column}) = 8, try_cast(conv(hex({column}), 16, 10) as bigint), null)"
+        f"if({number} between 0 and {U64_MAX}, unhex(lpad(conv(cast({number} as string), 10, 16), 16, '0')), null)"
     )
 
 
-def encode_u64(column: str) -> Column:
-    """A non-negative BIGINT as big-endian 8 bytes."""
-    return F.expr(f"unhex(lpad(hex({column}), 16, '0'))")
+def to_u64(text: Column) -> Column:
+    """A text of decimal digits as an unsigned number; other texts and numbers from 2**64 on are null."""
+    number = F.when(text.rlike("^[0-9]+$"), text.try_cast("decimal(38,0)"))
+    return F.when(number <= F.lit(str(U64_MAX)).cast("decimal(38,0)"), number).cast(U64)
 
 
 def decode_event_time(column: str) -> Column:
     """Big-endian Unix nanoseconds as a timestamp; the last three digits are cut."""
-    return F.expr(
-        f"timestamp_micros(if(octet_length({column}) = 8, "
-        f"try_cast(conv(hex({column}), 16, 10) as bigint), null) div 1000)"
-    )
+    return F.expr(f"timestamp_micros(cast({_u64(column)} div 1000 as bigint))")
 
 
 def varint_len(n: Column) -> Column:

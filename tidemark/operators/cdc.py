@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.binary import U64, to_u64
 from ..functions.binding import with_once
 from ..schema import cdc_envelope
 from ..sources.rules import RULES, RuleSet
@@ -36,20 +37,17 @@ def table_from_topic(topic: Column, prefix: str = TABLE_PREFIX) -> Column:
 
 
 def cdc_version(source: Column) -> Column:
-    """``lsn`` as number or numeric text, else the source time, else 0; exact up to 2**63 - 1.
+    """``lsn`` as number or numeric text, else the source time, else 0; unsigned, exact up to 2**64 - 1.
 
     A larger number does not fit and reads as missing, see :func:`version_error`.
     """
-    return F.coalesce(
-        F.try_to_number(source["lsn"], F.lit("9999999999999999999")).try_cast("bigint"),
-        source["ts_ms"].try_cast("bigint"),
-        F.lit(0),
-    )
+    small = F.try_to_number(source["lsn"], F.lit("9999999999999999999")).cast(U64)
+    return F.coalesce(to_u64(source["lsn"]), small, source["ts_ms"].try_cast("bigint").cast(U64), F.lit(0).cast(U64))
 
 
 def version_error(source: Column) -> Column:
-    """True when an ``lsn`` is a number that does not fit into BIGINT."""
-    return source["lsn"].rlike("^[0-9]+$") & source["lsn"].try_cast("bigint").isNull()
+    """True when an ``lsn`` is a number that does not fit into 64 bits."""
+    return source["lsn"].rlike("^[0-9]+$") & to_u64(source["lsn"]).isNull()
 
 
 def cdc_row_image(parsed: DataFrame) -> DataFrame:

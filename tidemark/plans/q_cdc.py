@@ -33,8 +33,13 @@ def images(t):
     return cdc.cdc_row_image(cdc.parse_cdc(t.cdc, USER_IMAGE))
 
 
+def narrow(df):
+    """The versions of these rows are below 2**63."""
+    return df.withColumn("cdc_lsn", F.col("cdc_lsn").cast("bigint"))
+
+
 def anonymized(t):
-    return cdc.anonymize(images(t), rulesets.ANALYTICS_RULES, "users", USER_IMAGE)
+    return narrow(cdc.anonymize(images(t), rulesets.ANALYTICS_RULES, "users", USER_IMAGE))
 
 
 ANON_SQL = f"""
@@ -110,7 +115,7 @@ def _(t):
         "topic",
         "partition",
         "offset",
-        cdc.cdc_version(F.col("e.source")).alias("cdc_lsn"),
+        cdc.cdc_version(F.col("e.source")).cast("bigint").alias("cdc_lsn"),
         F.coalesce(cdc.version_error(F.col("e.source")), F.lit(False)).alias("too_large"),
     )
 
@@ -172,6 +177,58 @@ def _(t):
     return cdc.split_malformed(cdc.parse_cdc(t.cdc, USER_IMAGE)).select("topic", "partition", "offset", "cause")
 
 
+# Versions around 2**63 and up to 2**64 - 1, as numbers and as texts; one in seven does not fit and falls back to the time.
+U64_SQL = """
+    SELECT c_custkey AS id, step, CASE (c_custkey + step) % 7
+        WHEN 0 THEN 9223372036854775807::HUGEINT WHEN 1 THEN 9223372036854775808::HUGEINT + c_custkey WHEN 2 THEN 18446744073709551615::HUGEINT - step
+        WHEN 3 THEN 18446744073709551616::HUGEINT + c_custkey WHEN 4 THEN c_custkey WHEN 5 THEN 18446744073709551615
+        ELSE 9223372036854775808::HUGEINT - step END::VARCHAR AS lsn
+    FROM customer, (VALUES (1), (2), (3)) s(step)"""
+
+
+def wide_changes(t):
+    """Three changes per customer, as change rows with unsigned versions."""
+    big = lambda n: F.lit(str(n)).cast("decimal(38,0)")
+    c, step = F.col("c_custkey").cast("decimal(38,0)"), F.col("step").cast("decimal(38,0)")
+    case = (F.col("c_custkey") + F.col("step")) % 7
+    lsn = (F.when(case == 0, big(2**63 - 1)).when(case == 1, big(2**63) + c).when(case == 2, big(2**64 - 1) - step)
+           .when(case == 3, big(2**64) + c).when(case == 4, c).when(case == 5, big(2**64 - 1)).otherwise(big(2**63) - step))
+    rows = t.table("customer").select("c_custkey", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])).alias("step"))
+    text = lsn.cast("decimal(38,0)").cast("string")
+    text = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(text)
+    value = F.concat(F.lit('{"op":"u","after":{"id":'), F.col("c_custkey"), F.lit(',"status":"s'), F.col("step"),
+                     F.lit('"},"source":{"lsn":'), text, F.lit(',"ts_ms":7}}'))
+    return rows.select(F.lit("cdc.public.users").alias("topic"), F.lit(0).alias("partition"),
+                       (F.col("c_custkey") * 10 + F.col("step")).alias("offset"), F.col("c_custkey").cast("string").alias("key"), value.alias("value"))
+
+
+@query(
+    "p05_cdc_version_u64",
+    f"""SELECT id, step, CASE WHEN lsn::HUGEINT < 18446744073709551616 THEN lsn ELSE '7' END AS cdc_lsn,
+               lsn::HUGEINT >= 18446744073709551616 AS too_large FROM ({U64_SQL})""",
+)
+def _(t):
+    parsed = cdc.parse_cdc(wide_changes(t), USER_IMAGE)
+    return parsed.select(
+        F.col("e.after.id").alias("id"), (F.col("offset") % 10).cast("int").alias("step"),
+        cdc.cdc_version(F.col("e.source")).cast("string").alias("cdc_lsn"), cdc.version_error(F.col("e.source")).alias("too_large"),
+    )
+
+
+@query(
+    "w03_replacing_final_u64",
+    f"""SELECT id, status, cdc_lsn FROM (
+            SELECT id, 's' || step AS status, v::VARCHAR AS cdc_lsn, row_number() OVER (PARTITION BY id ORDER BY v DESC, step DESC) AS rn
+            FROM (SELECT id, step, CASE WHEN lsn::HUGEINT < 18446744073709551616 THEN lsn::HUGEINT ELSE 7 END AS v FROM ({U64_SQL})))
+        WHERE rn = 1""",
+)
+def _(t):
+    rows = cdc.cdc_row_image(cdc.parse_cdc(wide_changes(t), USER_IMAGE))
+    flat_rows = rows.selectExpr("image.id AS id", "image.status AS status", "cdc_lsn", "offset", "_deleted")
+    last = cdc.replacing_final(flat_rows, "id", "cdc_lsn", drop_deleted=True)
+    return last.select("id", "status", F.col("cdc_lsn").cast("string").alias("cdc_lsn"))
+
+
 @query("w03_replacing_final", FINAL_SQL)
 def _(t):
     return cdc.replacing_final(anonymized(t), "id", "cdc_lsn")
@@ -214,7 +271,7 @@ def _(t):
     flat_images = images(t).filter(USERS).selectExpr(
         "image.id AS id", "image.country AS country", "image.status AS status", "cdc_lsn", "offset", "_deleted"
     )
-    target = cdc.replacing_final(flat_images, "id", "cdc_lsn", drop_deleted=True)
+    target = cdc.replacing_final(narrow(flat_images), "id", "cdc_lsn", drop_deleted=True)
     source = t.cust.selectExpr("id", "country", "'new' AS status")
     return joins.row_diff(source, target.select("id", "country", "status"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.binary import avro_long_len, encode_u64, proto_int_len, varint_len
+from ..functions.binary import avro_long_len, decode_u64, encode_u64, proto_int_len, varint_len
 from ..functions.text import ACCENTED, DIGRAPHS, FOLDED, analyze_text, tokenize
 from ..operators import search, words
 from ..session import work_dir
@@ -116,7 +116,33 @@ def changelog(t):
     f"SELECT word AS key, CASE WHEN length(word) % 17 = 0 THEN NULL ELSE n END AS n, n AS applied FROM ({COUNT_SQL})",
 )
 def _(t):
-    return words.restore_state(changelog(t))
+    return words.restore_state(changelog(t)).withColumn("n", F.col("n").cast("bigint"))
+
+
+# Counters that pass 2**63: one per customer and step, the highest offset last.
+WIDE_SQL = """SELECT 'c' || c_custkey AS key, step, CASE WHEN c_custkey % 5 = 0 AND step = 3 THEN NULL
+    ELSE 9223372036854775806::HUGEINT + step + c_custkey * (step % 2) END AS n FROM customer, (VALUES (1), (2), (3)) s(step)"""
+
+
+def wide_changelog(t):
+    rows = t.table("customer").select("c_custkey", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])).alias("step"))
+    n = F.lit(2**63 - 2).cast("decimal(38,0)") + F.col("step") + F.col("c_custkey") * (F.col("step") % 2)
+    n = F.when((F.col("c_custkey") % 5 != 0) | (F.col("step") != 3), n.cast("decimal(20,0)"))
+    rows = rows.select(F.concat(F.lit("c"), "c_custkey").alias("key"), F.col("step").cast("long").alias("offset"), n.alias("n"))
+    return rows.select("key", "offset", encode_u64("n").alias("value8"))
+
+
+@query(
+    "z08_restore_state_u64",
+    f"""SELECT key, any_value(n::VARCHAR) FILTER (step = 3) AS n, count(n) AS applied FROM ({WIDE_SQL}) GROUP BY key""",
+)
+def _(t):
+    return words.restore_state(wide_changelog(t)).withColumn("n", F.col("n").cast("string"))
+
+
+@query("n05_decode_u64_large", f"SELECT key, step::BIGINT AS \"offset\", n::VARCHAR AS n FROM ({WIDE_SQL})")
+def _(t):
+    return wide_changelog(t).select("key", "offset", decode_u64("value8").cast("string").alias("n"))
 
 
 @query(

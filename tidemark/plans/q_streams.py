@@ -14,7 +14,7 @@ from ..sources import rules as rulesets
 from ..sources.log import write_log
 from ..sources.sinks import read_versioned
 from ..streaming import jobs, retries, runner
-from .q_cdc import FINAL_SQL
+from .q_cdc import FINAL_SQL, narrow
 from .q_reliability import P12_SQL, SETTLING_SQL, Z11_SQL, Z19_SQL, settling_payment, z11_columns
 from .q_search import COUNT_SQL
 from .q_txn_saga import J13_SQL, Z09_SQL, Z10_SQL
@@ -120,7 +120,7 @@ def _(t):
     rules = rulesets.load_rules(rulesets.ANALYTICS_SALT, rulesets.ANALYTICS_ROWS)
     runner.finish(jobs.cdc_anonymize_stream(changes, rules, "users", path, side, work_dir(t.spark, "z14-checkpoint")))
     stored = read_versioned(t.spark, path, "analytics.users")
-    return cdc.replacing_final(stored, "id", "cdc_lsn").drop("offset", "partition")
+    return narrow(cdc.replacing_final(stored, "id", "cdc_lsn")).drop("offset", "partition")
 
 
 @query("z15_router_stream", P12_SQL)
