@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.binary import encode_u64
 from tidemark.functions.headers import headers_map
 from tidemark.operators import quality, reliability, sagas, windows, words
 from tidemark.operators.records import ROUTER_DLQ, enrich_vip
@@ -15,7 +16,7 @@ from tidemark.plans.views import Tables
 from tidemark.sources import rules as rulesets
 from tidemark.sources.log import read_log, stream_log, write_log
 from tidemark.sources.sinks import read_versioned
-from tidemark.streaming import jobs, retries, runner
+from tidemark.streaming import jobs, merged, retries, runner
 
 SF = "/root/testdata/sf0.001"
 T0 = datetime(2024, 1, 1)
@@ -313,3 +314,98 @@ def test_records_wait_in_state_and_survive_a_restart(spark, tmp_path):
     assert set(ends(retries.retried(spark, stages, path, "payments-dlq"))) == {1, 3, 4}
     retries.run_stages(stream, stages, path, "payments-dlq", settles, only=range(2, 3))
     assert ends(retries.retried(spark, stages, path, "payments-dlq")) == want
+
+
+# Merged current-state table
+
+
+def keyed(spark, n=600, seed=2):
+    rnd = random.Random(seed)
+    rows = [(i, None if rnd.random() < 0.05 else f"k{rnd.randrange(80)}", None if rnd.random() < 0.2 else f"v{i}") for i in range(n)]
+    return rows, spark.createDataFrame(rows, "event_id long, key string, value string")
+
+
+def last_rows(rows):
+    return {k: v for i, (k, v) in enumerate((r[1], (r[0], r[2])) for r in rows) if k is not None}
+
+
+def held_rows(spark, path, schema):
+    got = merged.read_merged(spark, path, schema).collect()
+    assert len({r.key for r in got}) == len(got)
+    return {r.key: (r.event_id, r.value) for r in got}
+
+
+def test_merged_table_over_batches(spark, tmp_path):
+    rows, df = keyed(spark)
+    path = str(tmp_path / "table")
+    stream = in_files(df, str(tmp_path / "in"), "event_id", 6)
+    runner.finish(merged.merged_table(stream, path, str(tmp_path / "cp"), "key", "event_id", buckets=5))
+    assert held_rows(spark, path, df.schema) == last_rows(rows)
+    # Neither the folders to read nor those that are kept grow with the batches.
+    assert len(list((tmp_path / "table" / "manifest").glob("version=*"))) == 2
+    assert len(list((tmp_path / "table" / "data").glob("version=*/bucket=*"))) <= 10
+
+
+def test_a_batch_rewrites_only_buckets_it_touches(spark, tmp_path):
+    rows, df = keyed(spark)
+    path = str(tmp_path / "table")
+    write = merged.merge_batch(path, df.schema, "key", "event_id", buckets=16)
+    write(df, 0)
+    write(spark.createDataFrame([(10_000, "k1", "new")], df.schema), 1)
+    versions = sorted(merged.manifest(spark, path).values())
+    assert versions.count(1) == 1 and set(versions) == {0, 1}
+    assert held_rows(spark, path, df.schema) == last_rows(rows) | {"k1": (10_000, "new")}
+    write(spark.createDataFrame([(3, "k1", "late")], df.schema), 2)  # an older row changes nothing
+    assert held_rows(spark, path, df.schema)["k1"] == (10_000, "new")
+    write(df.limit(0), 3)
+    assert held_rows(spark, path, df.schema)["k1"] == (10_000, "new")
+
+
+def test_a_failed_batch_shows_nothing_and_runs_again(spark, tmp_path):
+    rows, df = keyed(spark)
+    path, cp = str(tmp_path / "table"), str(tmp_path / "cp")
+    stream = in_files(df, str(tmp_path / "in"), "event_id", 3)
+    write = merged.merge_batch(path, df.schema, "key", "event_id", buckets=4)
+    shown = {}
+
+    def failing(part, batch_id):
+        if batch_id == 1:
+            shown["before"] = held_rows(spark, path, df.schema)
+            # The data of the batch is written, its manifest is not.
+            part.sparkSession.range(1).selectExpr("id AS event_id", "'zzz' AS key", "'half' AS value", "0 AS bucket").write.partitionBy(
+                "bucket").parquet(f"{path}/data/version=1")
+            raise RuntimeError("stopped between data and manifest")
+        write(part, batch_id)
+
+    with pytest.raises(Exception, match="stopped between data and manifest"):
+        runner.finish(runner.batch_table(stream, failing, cp))
+    assert held_rows(spark, path, df.schema) == shown["before"] == last_rows(rows[:200])
+    runner.finish(runner.batch_table(stream, write, cp))
+    assert held_rows(spark, path, df.schema) == last_rows(rows)
+
+
+def test_empty_merged_table(spark, tmp_path):
+    assert merged.read_merged(spark, str(tmp_path / "none"), keyed(spark, 1)[1].schema).collect() == []
+
+
+def test_restored_counters_go_on(spark, tables, tmp_path):
+    """Counts, changelog, rebuilt counters, new documents: equal to one uninterrupted run; a restart reads no seed twice."""
+    docs, seed, source = tables.docs, str(tmp_path / "seed"), str(tmp_path / "in")
+    first = words.word_count(docs.filter("doc_id % 3 = 0"))
+    changes = first.selectExpr("word AS key", "1L AS offset").withColumn("n", F.lit(1)).unionByName(
+        first.selectExpr("word AS key", "2L AS offset", "n"))
+    changes = changes.select("key", "offset", encode_u64("n").alias("value8"))
+    words.restore_state(changes).select("key", "n").write.parquet(seed)
+    docs.filter("doc_id % 3 = 1").coalesce(1).write.parquet(source)
+
+    def run():
+        counts = words.seeded_word_count(
+            spark.readStream.schema(docs.schema).parquet(source), spark.readStream.schema("key string, n decimal(20,0)").parquet(seed))
+        runner.finish(runner.batch_table(counts, runner.write_batch(str(tmp_path / "out")), str(tmp_path / "cp"), "update"))
+        return counts.schema
+
+    run()
+    docs.filter("doc_id % 3 = 2").coalesce(1).write.mode("append").parquet(source)
+    schema = run()
+    rows = runner.read_batches(spark, str(tmp_path / "out"), schema)
+    assert same(rows.groupBy("word").agg(F.max_by("n", "batch_id").alias("n")), words.word_count(docs))

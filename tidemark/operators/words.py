@@ -56,6 +56,18 @@ def restore_state(changelog: DataFrame) -> DataFrame:
     return last.select("key", F.col("last.n").alias("n"), "applied")
 
 
+def seeded_word_count(docs: DataFrame, counters: DataFrame) -> DataFrame:
+    """Word counts that go on from restored ``counters`` (``key, n``, null where deleted).
+
+    For streams, pass the restored table as a stream too: a counter is then one more input row of its word, read once
+    per checkpoint. Sums do not depend on order, so it does not matter whether new documents come before the counters,
+    and the state stays in the JVM and combines before the shuffle, which a state processor per word would not.
+    """
+    before = counters.filter("n IS NOT NULL").select(F.col("key").alias("word"), F.col("n").cast("bigint").alias("n"))
+    new = docs.select(F.explode(tokenize("text")).alias("word"), F.lit(1).cast("bigint").alias("n"))
+    return new.unionByName(before).groupBy("word").agg(F.sum("n").alias("n"))
+
+
 def restore_report(changelog: DataFrame) -> DataFrame:
     """Records applied and keys alive after the rebuild."""
     return restore_state(changelog).agg(

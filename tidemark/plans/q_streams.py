@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.binary import encode_u64
 from ..functions.headers import format_headers
 from ..functions.names import timestamp_text
 from ..operators import cdc, joins, quality, sagas, windows, words
@@ -13,7 +14,7 @@ from ..session import work_dir
 from ..sources import rules as rulesets
 from ..sources.log import write_log
 from ..sources.sinks import read_versioned
-from ..streaming import jobs, retries, runner
+from ..streaming import jobs, merged, retries, runner
 from .q_cdc import FINAL_SQL, narrow
 from .q_reliability import P12_SQL, SETTLING_SQL, Z11_SQL, Z19_SQL, settling_payment, z11_columns
 from .q_search import COUNT_SQL
@@ -58,6 +59,20 @@ def _(t):
     return runner.updated(words.word_count(Tables.as_docs(t.stream("documents"))), "z07", ["word"])
 
 
+@query("z07_restored_word_count", COUNT_SQL)
+def _(t):
+    """Half of the documents are counted, the counters are rebuilt from the changelog, and the rest goes on from them."""
+    path, seed = work_dir(t.spark, "z07-log"), work_dir(t.spark, "z07-seed")
+    first = words.word_count(Tables.as_docs(t.stream("documents")).filter("doc_id % 2 = 0"))
+    runner.finish(runner.batch_table(first, runner.write_batch(path), work_dir(t.spark, "z07-first"), "update"))
+    log = runner.read_batches(t.spark, path, first.schema)
+    changes = log.select(F.col("word").alias("key"), F.col("batch_id").alias("offset"), encode_u64("n").alias("value8"))
+    words.restore_state(changes).select("key", "n").write.parquet(seed)
+    counters = t.spark.readStream.schema("key string, n decimal(20,0)").parquet(seed)
+    rest = Tables.as_docs(t.stream("documents")).filter("coalesce(doc_id % 2, 1) <> 0")
+    return runner.updated(words.seeded_word_count(rest, counters), "z07-rest", ["word"])
+
+
 @query("z09_saga_orchestrator", Z09_SQL)
 def _(t):
     messages = Tables.as_sagacmd(t.stream("orders"))
@@ -113,6 +128,21 @@ def _(t):
     return out.select("key", "partition", "value")
 
 
+@query(
+    "z13_merged_table",
+    """SELECT key, "partition", value FROM (
+           SELECT *, row_number() OVER (PARTITION BY key ORDER BY event_id DESC) AS rn FROM v_klog WHERE key IS NOT NULL)
+       WHERE rn = 1 AND value IS NOT NULL""",
+)
+def _(t):
+    """The log in four files, one per batch, merged into the buckets each batch touches."""
+    source, path = work_dir(t.spark, "z13-source"), work_dir(t.spark, "z13-merged")
+    t.klog.repartitionByRange(4, "event_id").write.parquet(source)
+    rows = t.spark.readStream.schema(t.klog.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    runner.finish(merged.merged_table(rows, path, work_dir(t.spark, "z13-merged-checkpoint"), "key", "event_id", buckets=8))
+    return merged.read_merged(t.spark, path, rows.schema).filter("value IS NOT NULL").select("key", "partition", "value")
+
+
 @query("z14_cdc_anonymize_stream", f'SELECT * EXCLUDE ("offset", "partition") FROM ({FINAL_SQL})')
 def _(t):
     path, side = work_dir(t.spark, "z14"), work_dir(t.spark, "z14-malformed")
