@@ -7,12 +7,14 @@ from datetime import UTC, datetime, timedelta
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.binary import encode_u64
 from tidemark.functions.headers import headers_map
-from tidemark.operators import quality, reliability, sagas, windows, words
+from tidemark.operators import cdc, quality, reliability, sagas, windows, words
 from tidemark.operators.records import ROUTER_DLQ, enrich_vip
 from tidemark.plans.views import Tables
+from tidemark.schema import ANALYTICS_IMAGES, USER_IMAGE
 from tidemark.sources import rules as rulesets
 from tidemark.sources.log import read_log, stream_log, write_log
 from tidemark.sources.sinks import read_versioned
@@ -409,3 +411,31 @@ def test_restored_counters_go_on(spark, tables, tmp_path):
     schema = run()
     rows = runner.read_batches(spark, str(tmp_path / "out"), schema)
     assert same(rows.groupBy("word").agg(F.max_by("n", "batch_id").alias("n")), words.word_count(docs))
+
+
+def test_all_tables_are_anonymized_from_one_read(spark, tables, tmp_path):
+    """Rows per target over several batches, a batch that runs twice, and no dropped field anywhere in the files."""
+    rules, path = rulesets.ANALYTICS_RULES, str(tmp_path / "out")
+    changes = Tables.as_all_changes(tables.table("customer"), tables.table("orders"), tables.table("events"))
+    stream = in_files(changes, str(tmp_path / "in"), "offset", 3)
+    for cp in ("one", "two"):  # the second run writes the same batches again
+        runner.finish(jobs.cdc_anonymize_all_stream(stream, rules, ANALYTICS_IMAGES, path, str(tmp_path / cp)))
+    want = cdc.anonymize_tables(changes, rules, ANALYTICS_IMAGES)
+    assert same(spark.read.parquet(path).select(*want.columns), want)
+    assert not {"notes", "ip_address", "user_agent", "birth_date"} & set(spark.read.parquet(path).columns)
+    users = jobs.read_target(spark, path, rules, ANALYTICS_IMAGES, "users")
+    one = cdc.anonymize(cdc.cdc_row_image(cdc.parse_cdc(Tables.as_cdc(tables.table("customer")).withColumnRenamed("seq", "offset"), USER_IMAGE)),
+                        rules, "users", USER_IMAGE)
+    assert same(users, one.drop("target_topic"))
+    events = jobs.read_target(spark, path, rules, ANALYTICS_IMAGES, "events")
+    assert events.columns == ["topic", "partition", "offset", "key", "id", "user_id", "kind", "cdc_lsn", "_deleted"]
+    assert events.count() == tables.table("events").count()
+    plan = events._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(outcome" in plan and plan.count("Scan parquet") == 1
+    assert want._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_images_of_several_tables_share_types():
+    other = T.StructType([T.StructField("id", T.StringType())])
+    with pytest.raises(ValueError, match="another type"):
+        cdc.union_image({"users": USER_IMAGE, "odd": other})

@@ -62,6 +62,32 @@ def cdc_value() -> str:
                     ',"ts_ms":', 10 * c + 1, '}}') END"""
 
 
+# Change rows of orders and events: which steps there are, and their envelope.
+ORDER_STEPS = "(step = 1 OR (step = 2 AND o % 3 = 0) OR (step = 3 AND o % 7 = 0) OR (step = 4 AND o % 50 = 1))"
+EVENT_STEPS = "(step = 1 OR (step = 2 AND e % 40 = 3))"
+
+
+def order_value() -> str:
+    """Envelope text by order ``o``, ``user_id``, ``amount_cents`` and ``step``: insert, update, delete, bad text."""
+
+    def image(status: str) -> str:
+        return f"""concat('{{"id":', o, ',"user_id":', user_id, ',"amount_cents":', amount_cents, ',"status":"{status}","notes":"call ', user_id, '"}}')"""
+
+    source = """concat('"source":{"lsn":', 10 * o + step, '}}')"""
+    return f"""CASE step
+        WHEN 1 THEN concat('{{"before":null,"after":', {image("new")}, ',"op":"c",', {source})
+        WHEN 2 THEN concat('{{"before":', {image("new")}, ',"after":', {image("paid")}, ',"op":"u",', {source})
+        WHEN 3 THEN concat('{{"before":', {image("paid")}, ',"after":null,"op":"d",', {source})
+        ELSE concat('{{bad order ', o) END"""
+
+
+def event_value() -> str:
+    """Envelope text by event ``e``, ``user_id``, ``kind`` and ``step``; step 2 is bad text."""
+    return """CASE step WHEN 1 THEN concat('{"before":null,"after":{"id":', e, ',"user_id":', user_id, ',"kind":"', kind,
+        '","ip_address":"10.0.0.', e % 250, '","user_agent":"agent ', e % 9, '"},"op":"r","source":{"lsn":"', 10 * e + step, '"}}')
+        ELSE concat('bad event ', e) END"""
+
+
 def cdcp_value() -> str:
     def image(name: str) -> str:
         return f"""concat('{{"id":', p_partkey, ',"name":"', {name}, '","category":"', p_type, '","price_cents":',

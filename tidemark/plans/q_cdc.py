@@ -8,11 +8,12 @@ from ..functions.hashing import hash_field
 from ..functions.names import FIRST_WORD, SECOND_INITIAL, truncate_name
 from ..operators import cdc, joins
 from ..operators.records import chain
-from ..schema import PRODUCT_IMAGE, USER_IMAGE
+from ..schema import ANALYTICS_IMAGES, PRODUCT_IMAGE, USER_IMAGE
 from ..session import work_dir
 from ..sources import rules as rulesets
 from ..sources import sinks
 from ..sources.connect import unwrap_connect_json
+from .formulas import ORDER_STEPS
 from .registry import query
 
 SALT = rulesets.ANALYTICS_SALT
@@ -136,6 +137,42 @@ def _(t):
     return anonymized(t)
 
 
+# Orders and events pass with their notes, addresses and agents cut out; malformed rows of all tables keep their text.
+NO_USER = "NULL::VARCHAR AS email, NULL::VARCHAR AS phone, NULL::VARCHAR AS full_name, NULL::VARCHAR AS country"
+ALL_SQL = f"""
+    SELECT 'row' AS outcome, target_topic, id, email, phone, full_name, country, status, created_at, NULL::BIGINT AS user_id,
+           NULL::BIGINT AS amount_cents, NULL::VARCHAR AS kind, cdc_lsn::VARCHAR AS cdc_lsn, _deleted, NULL::VARCHAR AS raw
+    FROM ({ANON_SQL})
+    UNION ALL BY NAME
+    SELECT 'row' AS outcome, 'analytics.orders' AS target_topic, o_orderkey AS id, {NO_USER},
+           CASE step WHEN 1 THEN 'new' ELSE 'paid' END AS status, o_custkey AS user_id,
+           cast(round(o_totalprice * 100) AS bigint) AS amount_cents, (10 * o_orderkey + step)::VARCHAR AS cdc_lsn, (step = 3)::INT AS _deleted
+    FROM (SELECT *, o_orderkey AS o FROM orders, (VALUES (1), (2), (3)) s(step)) WHERE {ORDER_STEPS}
+    UNION ALL BY NAME
+    SELECT 'row' AS outcome, 'analytics.events' AS target_topic, event_id AS id, user_id, event_type AS kind,
+           (10 * event_id + 1)::VARCHAR AS cdc_lsn, 0 AS _deleted FROM events
+    UNION ALL BY NAME
+    SELECT 'malformed' AS outcome, CASE topic WHEN 'cdc.public.users' THEN 'analytics.users' ELSE 'none' END AS target_topic, value AS raw
+    FROM v_cdcrows WHERE value IS NOT NULL AND NOT json_valid(value)
+    UNION ALL BY NAME
+    SELECT 'malformed' AS outcome, 'analytics.orders' AS target_topic, '{{bad order ' || o_orderkey AS raw FROM orders WHERE o_orderkey % 50 = 1
+    UNION ALL BY NAME
+    SELECT 'malformed' AS outcome, 'analytics.events' AS target_topic, 'bad event ' || event_id AS raw FROM events WHERE event_id % 40 = 3"""
+
+
+def all_columns(rows):
+    assert not {"notes", "ip_address", "user_agent", "birth_date"} & set(rows.columns)
+    return rows.select(
+        "outcome", "target_topic", "id", "email", "phone", "full_name", "country", "status", "created_at", "user_id", "amount_cents",
+        "kind", F.col("cdc_lsn").cast("string").alias("cdc_lsn"), "_deleted", "raw")
+
+
+@query("p07_anonymize_tables", ALL_SQL)
+def _(t):
+    changes = t.as_all_changes(t.table("customer"), t.table("orders"), t.table("events"))
+    return all_columns(cdc.anonymize_tables(changes, rulesets.ANALYTICS_RULES, ANALYTICS_IMAGES))
+
+
 @query("p08_hash_field", f"SELECT id, {hash_sql('email')} AS email_hash, {hash_sql('phone')} AS phone_hash FROM v_cust")
 def _(t):
     return t.cust.select(

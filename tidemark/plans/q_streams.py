@@ -10,12 +10,13 @@ from ..functions.names import timestamp_text
 from ..operators import cdc, joins, quality, sagas, windows, words
 from ..operators import reliability as rel
 from ..operators.records import enrich_vip
+from ..schema import ANALYTICS_IMAGES
 from ..session import work_dir
 from ..sources import rules as rulesets
 from ..sources.log import write_log
 from ..sources.sinks import read_versioned
 from ..streaming import jobs, merged, retries, runner
-from .q_cdc import FINAL_SQL, narrow
+from .q_cdc import ALL_SQL, FINAL_SQL, all_columns, narrow
 from .q_reliability import P12_SQL, SETTLING_SQL, Z11_SQL, Z19_SQL, settling_payment, z11_columns
 from .q_search import COUNT_SQL
 from .q_txn_saga import J13_SQL, Z09_SQL, Z10_SQL
@@ -153,6 +154,16 @@ def _(t):
     return narrow(cdc.replacing_final(stored, "id", "cdc_lsn")).drop("offset", "partition")
 
 
+@query("z14_cdc_anonymize_all_stream", ALL_SQL)
+def _(t):
+    """Users, orders and events from one log, one parse and one write."""
+    path = work_dir(t.spark, "z14-all")
+    changes = Tables.as_all_changes(t.stream("customer"), t.stream("orders"), t.stream("events"))
+    runner.finish(jobs.cdc_anonymize_all_stream(
+        changes, rulesets.ANALYTICS_RULES, ANALYTICS_IMAGES, path, work_dir(t.spark, "z14-all-checkpoint")))
+    return all_columns(t.spark.read.parquet(path))
+
+
 @query("z15_router_stream", P12_SQL)
 def _(t):
     routed = jobs.router_stream(Tables.as_notif(t.stream("events")), "router-1")

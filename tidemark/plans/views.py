@@ -17,7 +17,9 @@ from ..session import cut_lineage, spread
 from .formulas import (
     CDC_STEPS,
     CDCP_STEPS,
+    EVENT_STEPS,
     EVT_COLUMNS,
+    ORDER_STEPS,
     PAY_MODE,
     SAGA_EVENTS,
     SAGACMD_ROWS,
@@ -25,8 +27,10 @@ from .formulas import (
     cdcp_value,
     conn_value,
     delivery_status,
+    event_value,
     image_user,
     notification_channel,
+    order_value,
     ordv_payload,
 )
 
@@ -336,6 +340,29 @@ class Tables:
             f"{cdc_value()} AS value",
         )
 
+    @staticmethod
+    def as_order_changes(orders: DataFrame) -> DataFrame:
+        rows = orders.selectExpr("o_orderkey AS o", "o_custkey AS user_id", "cast(round(o_totalprice * 100) AS bigint) AS amount_cents",
+                                 "explode(array(1, 2, 3, 4)) AS step").filter(ORDER_STEPS)
+        return rows.selectExpr("o * 10 + step AS seq", "'cdc.public.orders' AS topic", "cast(o % 3 AS int) AS partition",
+                               "cast(o AS string) AS key", f"{order_value()} AS value")
+
+    @staticmethod
+    def as_event_changes(events: DataFrame) -> DataFrame:
+        rows = events.selectExpr("event_id AS e", "user_id", "event_type AS kind", "explode(array(1, 2)) AS step").filter(EVENT_STEPS)
+        return rows.selectExpr("e * 10 + step AS seq", "'cdc.public.events' AS topic", "cast(e % 3 AS int) AS partition",
+                               "cast(e AS string) AS key", f"{event_value()} AS value")
+
+    @classmethod
+    def as_all_changes(cls, customer: DataFrame, orders: DataFrame, events: DataFrame) -> DataFrame:
+        """Change rows of three tables as one log; the sequence number stands for the offset."""
+        parts = [cls.as_cdc(customer), cls.as_order_changes(orders), cls.as_event_changes(events)]
+        columns = ["topic", "partition", "seq", "key", "value"]
+        rows = parts[0].select(*columns)
+        for p in parts[1:]:
+            rows = rows.unionByName(p.select(*columns))
+        return rows.withColumnRenamed("seq", "offset")
+
     @cached_property
     def cdc(self) -> DataFrame:
         numbered = row_numbers(self.cdc_rows, ["topic", "partition"], ["seq"])

@@ -58,6 +58,28 @@ USER_IMAGE = T.StructType(
     ]
 )
 
+ORDER_IMAGE = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("amount_cents", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("notes", T.StringType()),
+    ]
+)
+EVENT_IMAGE = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("ip_address", T.StringType()),
+        T.StructField("user_agent", T.StringType()),
+    ]
+)
+
+# Row images of the analytics feed by table.
+ANALYTICS_IMAGES = {"users": USER_IMAGE, "orders": ORDER_IMAGE, "events": EVENT_IMAGE}
+
 PRODUCT_IMAGE = T.StructType(
     [
         T.StructField("id", T.LongType()),

@@ -82,6 +82,30 @@ def cdc_anonymize_stream(
     return batch_table(changes, write, checkpoint)
 
 
+def cdc_anonymize_all_stream(
+    changes: DataFrame, rules: RuleSet, images: dict[str, T.StructType], path: str, checkpoint: str
+) -> StreamingQuery:
+    """Anonymize the change rows of all tables: one read, one parse and one write per batch.
+
+    The write is partitioned by outcome and target; a batch that runs again replaces its own folders.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        rows = cdc.anonymize_tables(df, rules, images).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("outcome", "target_topic", "batch_id").parquet(path)
+
+    return batch_table(changes, write, checkpoint)
+
+
+def read_target(
+    spark: SparkSession, path: str, rules: RuleSet, images: dict[str, T.StructType], table: str
+) -> DataFrame:
+    """Anonymized rows of one table, all versions, with the columns its rules keep; reads that target's folders only."""
+    stored = spark.read.parquet(path).filter((F.col("outcome") == "row") & (F.col("target_topic") == rules.tables[table].target_topic))
+    return stored.select("topic", "partition", "offset", "key", *cdc.kept_fields(rules, table, images[table]), "cdc_lsn", "_deleted")
+
+
 def router_stream(notifications: DataFrame, node: str) -> DataFrame:
     """Routed notifications with the counters ``routed`` and ``dead_lettered`` as observed metrics."""
     routed = records.route_by_channel(notifications, node)
