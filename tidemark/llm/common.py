@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +47,19 @@ def blocks(batch: pa.RecordBatch, column: int | str, rows: int = 2000, size: int
         at = end
 
 
+def release() -> None:
+    """Give back what earlier operators keep in this Python worker: Spark reuses workers, and their caches stay."""
+    encoders = sys.modules.get(f"{__package__}.encoder")
+    if encoders:
+        encoders._OPEN.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library; its memory is reused, not returned
+
+
 def unused(docs: DataFrame, name: str) -> str:
     """A column name that ``docs`` does not have in any case, made from ``name``."""
     taken = {c.lower() for c in docs.columns}

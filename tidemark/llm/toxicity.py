@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, mix64
+from .common import fold, mix64, release
 
 LETTERS = re.compile(r"\w+")
 KINDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -117,6 +117,7 @@ def score(docs: DataFrame, weights: Weights, threshold: float = 0.3, names: tupl
     schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         table = np.zeros(1 << weights.bits)
         table[weights.places] = weights.values
         for batch in batches:
