@@ -198,6 +198,31 @@ def test_counter_rate_restarts(spark):
     assert pairs(got, "ts", "rate") == {(ts(0), 0.0), (ts(60), round(10 / 120, 6)), (ts(120), round(15 / 120, 6)), (ts(180), round(8 / 120, 6))}
 
 
+@pytest.mark.parametrize("bits", [22, 27, 40])
+def test_counter_rate_over_chunks(spark, bits):
+    """One topic over many chunks, with restarts and samples within a second, against a plain scan."""
+    rnd = random.Random(12)
+    times, at = [], 0.0
+    for _ in range(400):
+        at += rnd.choice([0.25, 1, 1, 7, 90])
+        times.append(at)
+    rows, value = [], 0
+    for i, s in enumerate(times):
+        value = 0 if rnd.random() < 0.03 else value + rnd.randrange(9)
+        rows.append(("hot" if i % 5 else f"t{i % 3}", T0 + timedelta(seconds=s), value))
+    got = {(r.topic, r.ts): r.rate for r in windows.counter_rate(
+        spark.createDataFrame(rows, "topic string, ts timestamp, high_water long"), 60, bits=bits).collect()}
+    steps, last = [], {}
+    for t, s, v in rows:
+        steps.append((t, s, 0 if t not in last else v if v < last[t] else v - last[t]))
+        last[t] = v
+    whole = lambda s: int((s - T0).total_seconds())
+    for t, s, _ in steps:
+        total = sum(x for u, r, x in steps if u == t and whole(s) - 59 <= whole(r) <= whole(s))
+        assert got[t, s] == pytest.approx(round(total / 60, 6), abs=1e-9)
+    assert len(got) == len(rows)
+
+
 # --- change capture ---------------------------------------------------------------
 
 

@@ -73,12 +73,31 @@ def test_late_side_output(spark, tmp_path):
     for i in range(3):
         df.filter(f"b = {i}").coalesce(1).write.mode("append").parquet(path)
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    main, side = str(tmp_path / "main"), str(tmp_path / "side")
-    runner.finish(jobs.late_side_output(stream, 3600, 600, main, side, str(tmp_path / "marks"), str(tmp_path / "cp")))
-    late = runner.read_batches(spark, side, df.schema).collect()
+    out = str(tmp_path / "out")
+    runner.finish(jobs.late_side_output(stream, 3600, 600, out, str(tmp_path / "marks"), str(tmp_path / "cp")))
+    both = jobs.read_late_output(spark, out, df.schema)
+    late = both.filter("late_arrival").collect()
     # Hour 0 ends at minute 60, hour 1 at 120; the mark is minute 130 less 10.
     assert {(r.b, r.event_ts) for r in late} == {(1, T0 + timedelta(minutes=20)), (2, T0 + timedelta(minutes=64))}
-    assert runner.read_batches(spark, main, df.schema).count() == 3
+    assert both.filter("NOT late_arrival").count() == 3
+
+
+def test_late_rows_of_a_batch_that_runs_again(spark, tables, tmp_path):
+    """A batch is evaluated once, and the same rows are late when a crash makes it run twice."""
+    stream = in_files(tables.evt.select("event_id", "event_ts"), str(tmp_path / "in"), "event_id")
+    for cp in ("one", "two"):
+        runner.finish(jobs.late_side_output(stream, 3600, 600, str(tmp_path / "out"), str(tmp_path / "marks"), str(tmp_path / cp)))
+    rows = {(r.event_id, r.late_arrival) for r in jobs.read_late_output(spark, str(tmp_path / "out"), stream.schema).collect()}
+    data = sorted((r.event_id, r.event_ts) for r in tables.evt.collect())
+    n, want, mark = len(data), set(), None
+    size = [n // 4 + (i < n % 4) for i in range(4)]
+    for i in range(4):
+        part = data[sum(size[:i]) : sum(size[: i + 1])]
+        for event, at in part:
+            start = at.replace(minute=0, second=0, microsecond=0)
+            want.add((event, mark is not None and start + timedelta(hours=1) <= mark - timedelta(seconds=600)))
+        mark = max([t for _, t in part] + ([mark] if mark else []))
+    assert rows == want and any(late for _, late in rows)
 
 
 def test_sessions(tables, tmp_path):

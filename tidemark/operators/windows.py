@@ -170,21 +170,29 @@ def rate_table(events: DataFrame, every: str, produced: str, consumed: str) -> D
     )
 
 
-def counter_rate(metrics: DataFrame, span_s: int, group: str = "topic", counter: str = "high_water") -> DataFrame:
+def counter_rate(
+    metrics: DataFrame, span_s: int, group: str = "topic", counter: str = "high_water", bits: int = 28
+) -> DataFrame:
     """Per-second increase of a monotone counter over a trailing span; a fall means a restart from zero.
 
-    Samples are one row per topic and sampling time.
+    Samples are one row per topic and sampling time. The sample before a row is the latest of the earlier ones, a
+    running maximum that chunks of time carry into the next; the span is a moving window over the steps. A topic with
+    any number of samples is spread over its chunks of 2**bits microseconds.
     """
-    by_time = Window.partitionBy(group).orderBy("ts")
-    before = F.lag(counter).over(by_time)
+    timed = metrics.withColumn("__us", F.unix_micros("ts"))
+    latest = {"__last": ("max", F.struct("__us", counter))}
+    carried = running(timed, [group], ["__us"], latest, bits=bits, exclusive=True)
+    before = F.col(f"__last.{counter}")
     step = (
         F.when(before.isNull(), F.lit(0))
         .when(F.col(counter) < before, F.col(counter))
         .otherwise(F.col(counter) - before)
     )
-    stepped = metrics.withColumn("step", step).withColumn("__t", F.unix_timestamp("ts"))
-    trailing = Window.partitionBy(group).orderBy("__t").rangeBetween(-span_s + 1, Window.currentRow)
-    return stepped.select("ts", group, F.round(F.sum("step").over(trailing) / span_s, 6).alias("rate"))
+    # The span counts whole seconds, the row's own included.
+    second = F.timestamp_seconds(F.unix_timestamp("ts"))
+    stepped = carried.select("ts", group, step.alias("step"), second.alias("__second"))
+    summed = moving_window(stepped, span_s - 1, group, "__second", "step", bits=bits)
+    return summed.select("ts", group, F.round(F.col("total") / span_s, 6).alias("rate"))
 
 
 def index_percentiles(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ..functions.binary import encode_u64
@@ -25,8 +26,12 @@ from .registry import query
 from .views import Tables
 
 
+def evt_of(events):
+    return Tables.as_evt(events)
+
+
 def evt(t):
-    return Tables.as_evt(t.stream("events"))
+    return evt_of(t.stream("events"))
 
 
 @query("z01_event_time_counts", Z01_SQL)
@@ -106,15 +111,44 @@ def _(t):
     "SELECT count(*) AS total, count(*) AS unique_keys, 0::BIGINT AS duplicates, 'exactly once' AS verdict FROM v_log",
 )
 def _(t):
-    path, checkpoint = work_dir(t.spark, "z12"), work_dir(t.spark, "z12-checkpoint")
-    rows = Tables.as_log(t.stream("events")).withColumnRenamed("event_id", "offset")
-    out = enrich_vip(rows).drop("headers")
-    # Started twice on one checkpoint; the second run finds nothing left to do.
-    for _i in range(2):
-        runner.finish(jobs.exactly_once_pipeline(out, path, checkpoint))
+    """The log in four files, one per batch; the job stops after it has written the second one and is started again."""
+    path, checkpoint, source = (work_dir(t.spark, name) for name in ("z12", "z12-checkpoint", "z12-source"))
+    in_quarters(t.table("events"), source)
+    files = t.spark.readStream.schema(t.table("events").schema).option("maxFilesPerTrigger", 1).parquet(source)
+    out = enrich_vip(Tables.as_log(files).withColumnRenamed("event_id", "offset")).drop("headers")
+    try:
+        runner.finish(jobs.exactly_once_pipeline(out, path, checkpoint, fail_after=1))
+    except StreamingQueryException as stopped:
+        if "stopped after writing batch 1" not in str(stopped):
+            raise
+    runner.finish(jobs.exactly_once_pipeline(out, path, checkpoint))
     return quality.duplicate_summary(runner.read_batches(t.spark, path, out.schema), "src_offset")
 
 
+def in_quarters(events, path):
+    """The events as four files in log order, so that a stream of one file per trigger has four batches."""
+    last = events.agg(F.max("event_id")).scalar()
+    marked = events.withColumn("__quarter", F.floor(F.col("event_id") * 4 / (last + 1)))
+    for i in range(4):
+        marked.filter(F.col("__quarter") == i).drop("__quarter").coalesce(1).write.mode("append").parquet(path)
+
+
+@query(
+    "z04_late_split_stream",
+    """WITH q AS (SELECT event_id, event_ts, floor(event_id * 4 / (SELECT max(event_id) + 1 FROM v_evt)) AS part FROM v_evt),
+            m AS (SELECT part, max(max(event_ts)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM q GROUP BY part)
+       SELECT event_id, coalesce(date_trunc('hour', event_ts) + INTERVAL 1 HOUR <= mark - INTERVAL 10 MINUTE, false) AS late_arrival
+       FROM q JOIN m ON q.part = m.part""",
+)
+def _(t):
+    source, path = work_dir(t.spark, "z04-source"), work_dir(t.spark, "z04")
+    in_quarters(t.table("events"), source)
+    files = t.spark.readStream.schema(t.table("events").schema).option("maxFilesPerTrigger", 1).parquet(source)
+    rows = evt_of(files)
+    runner.finish(jobs.late_side_output(rows, 3600, 600, path, work_dir(t.spark, "z04-marks"), work_dir(t.spark, "z04-checkpoint")))
+    return jobs.read_late_output(t.spark, path, rows.schema).select("event_id", "late_arrival")
+
+
 @query(
     "z13_materialize_table",
     """SELECT key, "partition", value FROM (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -114,30 +114,37 @@ def router_stream(notifications: DataFrame, node: str) -> DataFrame:
 
 
 def late_side_output(
-    stream: DataFrame, size_s: int, tolerance_s: int, main: str, side: str, marks: str, checkpoint: str
+    stream: DataFrame, size_s: int, tolerance_s: int, path: str, marks: str, checkpoint: str
 ) -> StreamingQuery:
-    """Split off rows whose window was final before their batch.
+    """Split off rows whose window was final before their batch, in one write partitioned by ``late_arrival``.
 
-    The highest event time of each batch is kept in a table of one row per
-    batch; a row is late against the batches before its own.
+    A row is late against the batches before its own. The highest event time of a batch is an observed metric of its
+    write; it is kept in a table of one row per batch, of which a batch reads the one before its own.
     """
     size, tolerance = size_s * 1_000_000, tolerance_s * 1_000_000
 
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         us = F.unix_micros("event_ts")
-        own = df.agg(F.max(us).alias("max_us"))
-        own.write.mode("overwrite").parquet(f"{marks}/batch_id={batch_id}")
-        seen = spark.read.schema("max_us long, batch_id long").parquet(marks).filter(F.col("batch_id") < batch_id)
-        mark = seen.agg(F.max("max_us")).scalar()
+        before = spark.read.schema("mark long").parquet(f"{marks}/batch_id={batch_id - 1}").first().mark if batch_id else None
+        mark = F.lit(before).cast("long")
         late = F.coalesce(us - F.pmod(us, F.lit(size)) + size <= mark - tolerance, F.lit(False))
-        flagged = df.withColumn("late_arrival", late)
-        write_batch(main)(flagged.filter("NOT late_arrival").drop("late_arrival"), batch_id)
-        write_batch(side)(flagged.filter("late_arrival").drop("late_arrival"), batch_id)
+        highest = Observation(f"highest-{batch_id}")
+        flagged = df.withColumn("late_arrival", late).observe(highest, F.max(us).alias("mark"))
+        flagged.write.mode("overwrite").partitionBy("late_arrival").parquet(f"{path}/batch_id={batch_id}")
+        found = [m for m in (before, highest.get["mark"]) if m is not None]
+        own = spark.range(1).select(F.lit(max(found) if found else None).cast("long").alias("mark"))
+        own.write.mode("overwrite").parquet(f"{marks}/batch_id={batch_id}")
 
     return batch_table(stream, write, checkpoint)
 
 
+def read_late_output(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows that :func:`late_side_output` wrote, with ``late_arrival``; a filter on it reads one side only."""
+    own = T.StructType([*schema.fields, T.StructField("late_arrival", T.BooleanType()), T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(own).parquet(path).drop("batch_id")
+
+
 def progress_lag(query: StreamingQuery, total: int) -> list[tuple[int, int, int, int]]:
     """Batch, input rows, processed rows so far and backlog per trigger of a query over ``total`` rows."""
     rows, processed = [], 0
