@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 # Words are runs of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 WORDS = re.compile(WORD)
+# Settings of the C library and Arrow for Python workers, which take effect where those are in use.
+MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "1048576",
+          "MALLOC_MMAP_THRESHOLD_": "1048576"}
 
 
 def importable(spark: SparkSession) -> SparkSession:
@@ -29,6 +32,9 @@ def importable(spark: SparkSession) -> SparkSession:
     paths = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in paths.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, paths] if paths else [root])
+    # Workers are reused for the whole application: what a task frees goes back to the system, not into pools.
+    for name, value in MEMORY.items():
+        spark.sparkContext.environment.setdefault(name, value)
     # Texts differ in length by orders of magnitude, so batches are bounded by bytes and not by rows alone.
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     return spark
