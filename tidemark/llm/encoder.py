@@ -46,6 +46,7 @@ class Encoder:
             self.units = self.token_bytes()
             self.joinable = lambda chunk: chunk[:1] == " " and len(chunk) > 1 and not chunk[1].isspace()
             self.size_of = lambda chunk: len(chunk.encode())
+        self.marks = {m: self._ids(m) for m in ".,!?"}
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -62,21 +63,34 @@ class Encoder:
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _learn(self, chunks: set[str]) -> None:
-        """Put the ids of chunks into the cache, from the older generation or the tokenizer."""
-        together, alone = [], []
+        """Put the ids of chunks into the cache, from the older generation, from the word without its mark, or the tokenizer."""
+        together, alone, marked = [], [], []
+        new, old = self.new, self.old
         for chunk in chunks:
-            known = self.old.get(chunk)
+            known = old.get(chunk)
             if known is not None:
-                self.new[chunk] = known
-            elif self.joinable(chunk):
+                new[chunk] = known
+                continue
+            if chunk[-1:] in self.marks and PLAIN_WORD.fullmatch(chunk):
+                # Letters and the mark after them are encoded apart.
+                marked.append(chunk)
+                chunk = chunk[:-1]
+                if chunk in chunks or chunk in new:
+                    continue
+                known = old.get(chunk)
+                if known is not None:
+                    new[chunk] = known
+                    continue
+                new[chunk] = b""  # taken, its ids follow
+            if self.joinable(chunk):
                 together.append(chunk)
             else:
                 alone.append(chunk)
         for chunk, found in zip(alone, self.plain.encode_batch_fast(alone, add_special_tokens=False), strict=True):
             self.new[chunk] = np.array(found.ids, self.dtype).tobytes()
         size = self.dtype.itemsize
-        for at in range(0, len(together), 64):
-            part = together[at : at + 64]
+        for at in range(0, len(together), 256):
+            part = together[at : at + 256]
             (found,) = self.plain.encode_batch_fast(["".join(part)], add_special_tokens=False)
             ids = np.array(found.ids, self.dtype)
             # Every id stands for a number of units, and so does every chunk: their running sums meet at the ends.
@@ -85,6 +99,8 @@ class Encoder:
             for chunk, end in zip(part, (ends * size).tolist(), strict=True):
                 self.new[chunk] = raw[at_byte:end]
                 at_byte = end
+        for chunk in marked:
+            new[chunk] = new[chunk[:-1]] + self.marks[chunk[-1]]
 
     def encode(self, texts: list[str | None], step: int = 400) -> list[bytes]:
         """Ids of each text as little-endian integers of ``self.dtype``; a null counts as empty."""
