@@ -487,6 +487,33 @@ def test_unknown_channels_are_not_dropped(spark):
 # --- transactions and sagas ---------------------------------------------------------
 
 
+def test_gaps_keep_repeats_and_missing_ids(spark):
+    orders = spark.createDataFrame([("a",), ("b",), ("b",), (None,), ("c",)], "id string")
+    outbox = spark.createDataFrame([("a",), ("d",), (None,), ("c",), ("c",)], "aggregate_id string")
+    got = sorted(map(tuple, joins.outbox_gaps(orders, outbox).collect()), key=repr)
+    assert got == sorted([("b", "outbox"), ("b", "outbox"), (None, "outbox"), ("d", "orders"), (None, "orders")], key=repr)
+
+
+def test_isolation_counts_equal_the_rows(spark):
+    log = spark.createDataFrame(
+        [("t", None, None), ("t", "p", 1), ("t", "p", 2), ("u", "p", 2), ("u", "q", 2), ("v", "p", 2), ("t", "p", 1)],
+        "topic string, txn_id string, txn_no long")
+    markers = spark.createDataFrame([("p", 1, "commit"), ("p", 1, "commit"), ("p", 2, "abort"), ("q", 2, "commit")], "txn_id string, txn_no long, outcome string")
+    read = transactions.read_committed(log, markers).groupBy("topic").count().collect()
+    got = {(r.level, r.label): r.records for r in transactions.isolation_counts(log, markers).collect()}
+    assert {k[1]: v for k, v in got.items() if k[0] == "committed" and k[1] != "TOTAL"} == {r.topic: r["count"] for r in read}
+    assert got["committed", "TOTAL"] == 4 and got["uncommitted", "TOTAL"] == 7 and ("committed", "v") not in got
+
+
+def test_hot_keys_read_the_log_once(spark, tmp_path):
+    spark.createDataFrame([("t", i % 3, f"k{i % 7}") for i in range(100)], "topic string, partition int, key string").write.parquet(str(tmp_path / "l"))
+    df = logs.hot_keys(spark.read.parquet(str(tmp_path / "l")), 3)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
+
+
 def test_read_committed(spark):
     log = spark.createDataFrame([("t", 0, "a", 1), ("t", 1, "a", 2), ("t", 2, "a", 3), ("t", 3, None, None)], "topic string, offset long, txn_id string, txn_no long")
     marks = spark.createDataFrame([("a", 1, "commit"), ("a", 2, "abort")], "txn_id string, txn_no long, outcome string")

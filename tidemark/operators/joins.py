@@ -123,11 +123,13 @@ def row_diff(source: DataFrame, target: DataFrame) -> DataFrame:
 
 def outbox_gaps(orders: DataFrame, outbox: DataFrame) -> DataFrame:
     """Business rows without an outbox row and the reverse; both are empty when the write is atomic."""
-    a = orders.select(F.col("id").alias("order_id"))
-    b = outbox.select(F.col("aggregate_id").alias("order_id"))
-    left = a.join(b, "order_id", "left_anti").withColumn("missing_in", F.lit("outbox"))
-    right = b.join(a, "order_id", "left_anti").withColumn("missing_in", F.lit("orders"))
-    return left.unionByName(right)
+    a = orders.select(F.col("id").alias("order_id"), F.lit(1).alias("__a"), F.lit(0).alias("__b"))
+    b = outbox.select(F.col("aggregate_id").alias("order_id"), F.lit(0).alias("__a"), F.lit(1).alias("__b"))
+    per_id = a.union(b).groupBy("order_id").agg(F.sum("__a").alias("__a"), F.sum("__b").alias("__b"))
+    # One union and one grouping; a missing id equals no other, and repeated rows stay repeated.
+    alone = per_id.filter("__a = 0 OR __b = 0 OR order_id IS NULL")
+    copies = F.concat(F.array_repeat(F.lit("outbox"), F.col("__a").cast("int")), F.array_repeat(F.lit("orders"), F.col("__b").cast("int")))
+    return alone.select("order_id", F.explode(copies).alias("missing_in"))
 
 
 def stream_table_join(events: DataFrame, table: DataFrame, key: str, table_key: str) -> DataFrame:

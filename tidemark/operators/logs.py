@@ -169,13 +169,17 @@ def offset_table(log: DataFrame) -> DataFrame:
 def hot_keys(log: DataFrame, k: int) -> DataFrame:
     """The k heaviest keys with their share of their partition and of the topic."""
     per_key = log.groupBy("topic", "partition", "key").agg(F.count("*").alias("records"))
-    per_part = log.groupBy("topic", "partition").agg(F.count("*").alias("part_records"))
+    # Taken from the same grouping, whose shuffle is then reused: the log is read once.
+    per_part = per_key.groupBy("topic", "partition").agg(F.sum("records").alias("part_records"))
     per_topic = per_part.groupBy("topic").agg(F.sum("part_records").alias("topic_records"))
     # Top k first: the shares need k rows only.
     top = per_key.orderBy(F.desc("records"), "topic", "partition", "key").limit(k)
-    return top.join(per_part, ["topic", "partition"]).join(per_topic, "topic").select(
-        "topic",
-        "partition",
+    same = lambda other, *names: [F.col(f"k.{n}").eqNullSafe(F.col(f"{other}.{n}")) for n in names]
+    # Null-safe, since a filter on missing values would make the reused plans differ.
+    joined = top.alias("k").join(per_part.alias("p"), same("p", "topic", "partition")).join(per_topic.alias("t"), same("t", "topic"))
+    return joined.select(
+        "k.topic",
+        "k.partition",
         "key",
         "records",
         F.round(F.col("records") / F.col("part_records") * 100, 6).alias("partition_pct"),

@@ -16,14 +16,17 @@ def read_committed(log: DataFrame, markers: DataFrame) -> DataFrame:
 
 
 def isolation_counts(log: DataFrame, markers: DataFrame) -> DataFrame:
-    """Rows per topic and in total at both isolation levels."""
-    levels = log.withColumn("level", F.lit("uncommitted")).unionByName(
-        read_committed(log, markers).withColumn("level", F.lit("committed"))
+    """Rows per topic and in total at both isolation levels, from one count per transaction."""
+    committed = markers.filter("outcome = 'commit'").select("txn_id", "txn_no").distinct().withColumn("ok", F.lit(True))
+    per_txn = log.groupBy("topic", "txn_id", "txn_no").agg(F.count("*").alias("n"))
+    seen = F.col("txn_id").isNull() | F.coalesce("ok", F.lit(False))
+    per_topic = per_txn.join(committed, ["txn_id", "txn_no"], "left").groupBy("topic").agg(
+        F.sum("n").alias("uncommitted"), F.sum(F.when(seen, F.col("n")).otherwise(0)).alias("committed")
     )
+    levels = per_topic.unpivot("topic", ["uncommitted", "committed"], "level", "n").filter("n > 0")
     total = F.grouping("topic") == 1
     return (
-        levels.groupBy("level", "topic").agg(F.count("*").alias("n"))
-        .groupingSets([["level", "topic"], ["level"]], "level", "topic")
+        levels.groupingSets([["level", "topic"], ["level"]], "level", "topic")
         .agg(F.when(total, F.lit("TOTAL")).otherwise(F.first("topic")).alias("label"), F.sum("n").alias("records"))
         .drop("topic")
     )
