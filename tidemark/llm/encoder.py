@@ -19,10 +19,11 @@ PLAIN_WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+[.,!?]?")
 _OPEN: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of a tokenizer file, one per Python worker."""
+def encoder(path: str, entries: int = 300_000) -> Encoder:
+    """The encoder of a tokenizer file, one per Python worker; a generation of its cache has ``entries`` chunks."""
     if path not in _OPEN:
-        _OPEN[path] = Encoder(path)
+        _OPEN[path] = Encoder(path, entries)
+    _OPEN[path].entries = entries
     return _OPEN[path]
 
 

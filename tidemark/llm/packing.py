@@ -26,11 +26,11 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, salt
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, cache: int = 300_000) -> DataFrame:
     """One row per piece of at most ``size`` ids of every document (end id included)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, seen = encoder(tokenizer), 0
+        enc, seen = encoder(tokenizer, cache), 0
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -162,16 +162,16 @@ def _round(rows: DataFrame, buckets: int, number: int, size: int) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int = 4096, bucket: int = 16_384,
-         tight: float = 0.98) -> DataFrame:
+         tight: float = 0.98, cache: int = 300_000) -> DataFrame:
     """All documents in sequences of at most ``size`` tokens.
 
     Needs ``doc_id`` and ``text``; other columns are ignored. Returns one row per piece: ``doc_id, piece, start,
     length, ids_crc32, sequence_id, offset``. A null or empty text is one piece of the end id alone; a null
     ``doc_id`` is kept as such; repeated rows are packed as often as they occur; an empty table gives no rows.
     ``bucket`` is the number of pieces a task packs at once, ``tight`` the fill from which a sequence is left alone
-    in later rounds.
+    in later rounds, ``cache`` the chunks that a generation of the encoder's cache holds in a worker.
     """
-    rows = cut_lineage(pieces(docs, tokenizer, end_id, size), "pieces")
+    rows = cut_lineage(pieces(docs, tokenizer, end_id, size, cache), "pieces")
     out, number, count, before = None, 0, rows.count(), None
     while True:
         buckets = max(1, -(-count // bucket))

@@ -80,7 +80,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 tokens."""
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), cache=800_000)
 
 
 @query
