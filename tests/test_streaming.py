@@ -152,6 +152,35 @@ def test_saga_state_over_batches(tables, tmp_path):
     assert same(got, sagas.saga_orchestrator(tables.sagacmd))
 
 
+def test_saga_state_leaves_no_row_to_python(spark, tables):
+    """A call per saga does not keep up with millions of them."""
+    messages = Tables.as_sagacmd(tables.stream("orders"))
+    plan = jobs.saga_orchestrator_stream(messages)._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "TransformWithState" not in plan and "InPandas" not in plan
+
+
+def test_saga_messages_count_in_order_of_seq(spark, tmp_path):
+    """A reply that arrives a batch before the opening it follows counts, one from before the opening does not."""
+    rows = [
+        ("late", 1, "payment-reply", "AUTHORIZE", True, "p1", "", 1), ("late", 0, "place-order", "PLACE", True, "", "", 2),
+        ("late", 2, "inventory-reply", "RESERVE", False, "", "empty", 3), ("late", 3, "place-order", "PLACE", True, "", "", 4),
+        ("early", 1, "payment-reply", "AUTHORIZE", True, "p2", "", 1), ("early", 2, "payment-reply", "REFUND", True, "", "", 1),
+        ("early", 3, "place-order", "PLACE", True, "", "", 2), ("early", 4, "payment-reply", "AUTHORIZE", False, "", "no", 3),
+        ("none", 1, "payment-reply", "AUTHORIZE", True, "p3", "", 1),
+        ("twice", 0, "place-order", "PLACE", True, "", "", 1), ("twice", 1, "payment-reply", "AUTHORIZE", True, "p4", "", 2),
+        ("twice", 1, "payment-reply", "AUTHORIZE", True, "p4", "", 3), ("twice", 2, "payment-reply", "REFUND", True, "", "", 4),
+        (None, 0, "place-order", "PLACE", True, "", "", 4),
+    ]
+    df = spark.createDataFrame(rows, "saga_id string, seq long, kind string, action string, ok boolean, id string, reason string, part int")
+    df = df.withColumns({"customer_id": F.lit("c"), "amount_cents": F.lit(5).cast("long")})
+    stream = in_files(df, str(tmp_path / "in"), "part")
+    got = runner.updated(jobs.saga_orchestrator_stream(stream), "sq", ["saga_id"])
+    assert same(got, sagas.saga_orchestrator(df))
+    assert {r.saga_id: (r.step, r.commands, r.failure_reason) for r in got.collect()} == {
+        "late": ("COMPENSATING_PAYMENT", 3, "inventory-failed: empty"), "early": ("DONE", 1, "no"), "twice": ("DONE", 3, ""),
+        None: ("AWAITING_PAYMENT", 1, None)}
+
+
 def test_saga_messages_one_by_one():
     class M:
         def __init__(self, kind, action, ok, ident="", reason=""):

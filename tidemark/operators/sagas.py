@@ -195,6 +195,51 @@ def saga_orchestrator(messages: DataFrame) -> DataFrame:
     )
 
 
+def saga_orchestrator_running(messages: DataFrame) -> DataFrame:
+    """The same for a stream: one row of aggregates per saga is its state, so nothing leaves the JVM.
+
+    Messages count in the order of ``seq``, also over batches: a reply from before the first place-order is skipped
+    whichever of them arrives first. What has a last value is kept with its ``seq`` and compared with the opening's when
+    the row is read. Of commands the ``seq`` is kept, as their number depends on it.
+    """
+    opening = F.col("kind") == "place-order"
+    known = messages.withColumn("ok", F.coalesce("ok", F.lit(False))).select(
+        "saga_id", "seq", "action", "ok", "id", "customer_id", "amount_cents", opening.alias("opening"),
+        _effect(0).alias("step"), _effect(1).alias("status"), _effect(2).alias("event"), _effect(3).alias("command"),
+        _failure().alias("failure"),
+    ).filter("step IS NOT NULL")
+    reply = ~F.col("opening")
+
+    def last(condition: Column, *values: str) -> Column:
+        return F.max(F.when(reply & condition, F.struct("seq", *values)))
+
+    effect = ["step", "status", "event"]
+    state = known.groupBy("saga_id").agg(
+        F.min(F.when(F.col("opening"), F.struct("seq", "customer_id", "amount_cents", "command", *effect))).alias("opened"),
+        last(F.lit(True), *effect).alias("replied"),
+        *[last(F.col("ok") & (F.col("action") == action), "id").alias(name) for name, action in ID_OF.items()],
+        last(F.col("failure").isNotNull(), "failure").alias("failed"),
+        last(F.col("ok") & (F.col("action") == "REFUND")).alias("refunded"),
+        last(F.col("command").isNotNull(), "command").alias("sent"),
+        F.collect_list(F.when(reply & F.col("command").isNotNull(), F.col("seq"))).alias("sent_at"),
+    )
+
+    def after(column: str, value: str | Column) -> Column:
+        return F.when(F.col(f"{column}.seq") >= F.col("opened.seq"), F.col(f"{column}.{value}") if isinstance(value, str) else value)
+
+    sent = F.size(F.filter("sent_at", lambda at: at >= F.col("opened.seq")))
+    return state.filter("opened IS NOT NULL").select(
+        "saga_id",
+        "opened.customer_id",
+        "opened.amount_cents",
+        *[F.coalesce(after("replied", e), F.col(f"opened.{e}")).alias("last_event" if e == "event" else e) for e in effect],
+        *[after(name, "id").alias(name) for name in ID_OF],
+        F.coalesce(after("failed", "failure"), after("refunded", F.lit(""))).alias("failure_reason"),
+        (sent + 1).cast("long").alias("commands"),
+        F.coalesce(after("sent", "command"), F.col("opened.command")).alias("last_command"),
+    )
+
+
 def request_payment_pairs(requested: DataFrame, paid: DataFrame, minutes: int) -> DataFrame:
     """Pair requests and payments of one saga within a time interval; two tables or two streams."""
     left = requested.select(F.col("saga_id").alias("l_saga"), F.col("ts").alias("requested_at"))

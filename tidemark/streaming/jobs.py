@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import cdc, records, sagas
 from ..operators.joins import last_per_key
@@ -164,30 +162,13 @@ SAGA_STATE = T.StructType(
         )
     ]
 )
-SAGA_OUTPUT = T.StructType([T.StructField("saga_id", T.StringType()), *SAGA_STATE.fields])
-
-
-class SagaProcessor(StatefulProcessor):
-    """Folds the messages of one saga into its state row."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("saga", SAGA_STATE)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        current = dict(zip(SAGA_STATE.fieldNames(), self.state.get())) if self.state.exists() else None
-        for m in sorted(rows, key=lambda r: r.seq):
-            current = apply_message(current, m)
-        if current is None:
-            return
-        self.state.update(tuple(current.values()))
-        yield Row(saga_id=key[0], **current)
-
-    def close(self) -> None:
-        pass
 
 
 def apply_message(current: dict | None, m) -> dict | None:
-    """State after one message; the first place-order opens a saga, replies before it are skipped."""
+    """State after one message; the first place-order opens a saga, replies before it are skipped.
+
+    The rules one by one, as a service applies them; :func:`saga_orchestrator_stream` gives the same state by aggregates.
+    """
     opening = m.kind == "place-order"
     if opening == (current is not None):
         return current
@@ -214,6 +195,4 @@ def apply_message(current: dict | None, m) -> dict | None:
 
 def saga_orchestrator_stream(messages: DataFrame) -> DataFrame:
     """Keyed state per saga in the RocksDB store; emits the state row of every saga a batch touches."""
-    return messages.groupBy("saga_id").transformWithState(
-        statefulProcessor=SagaProcessor(), outputStructType=SAGA_OUTPUT, outputMode="Update", timeMode="None"
-    )
+    return sagas.saga_orchestrator_running(messages)
