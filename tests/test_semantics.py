@@ -674,3 +674,18 @@ def test_switch_version_waits_for_the_new_table(spark):
     assert spark.table("current_rows").count() == 3
     assert sinks.switch_version(spark, "current_rows", old, spark.range(4), "v2").first().switched
     assert spark.table("current_rows").count() == 4
+
+
+def test_counters_are_restored_without_a_sort_of_the_records(spark):
+    """The buffer holds numbers, so records are hashed; a struct in it made Spark sort all of them by key."""
+    log = spark.createDataFrame([("a", 0, bytearray(8))], "key string, offset long, value8 binary")
+    plan = words.restore_state(log)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHash" not in plan
+
+
+def test_word_changelog_has_few_totals(spark):
+    """A rare word costs a total for each of its chunks, so chunks are large: ten thousand documents are one."""
+    docs = spark.createDataFrame([(0, i, "rare") for i in range(0, 10000, 500)], "partition int, offset long, text string")
+    plan = words.word_changelog(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate") == 2  # the texts are split for the totals and for the rows, not for a level above
+    assert sorted(r.n for r in words.word_changelog(docs).collect()) == list(range(1, 21))

@@ -9,7 +9,7 @@ from ..functions.binary import decode_u64
 from ..functions.binding import with_once
 from ..functions.text import analyze_literal, analyze_text, tokenize
 from ..session import cut_lineage
-from .running import PLACES, running
+from .running import CHUNK_BITS, PLACES, running
 
 
 def words(docs: DataFrame) -> DataFrame:
@@ -29,11 +29,12 @@ def top_n_words(counts: DataFrame, n: int) -> DataFrame:
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), F.asc("word"))).cast("long"))
 
 
-def word_changelog(docs: DataFrame, bits: int = 12) -> DataFrame:
+def word_changelog(docs: DataFrame, bits: int = CHUNK_BITS) -> DataFrame:
     """One row per occurrence with the running count of its word in log order.
 
     Log order is partition, then offset, then position. A frequent word is cut
-    into chunks of offsets, so it never has to be sorted by one task.
+    into chunks of offsets, so it never has to be sorted by one task. Chunks of
+    few offsets would cost a total and a head for nearly every rare word in each.
     """
     return running(
         words(docs), ["word"], ["offset", "pos"], {"n": ("count", None)}, lead=["partition"], bits=bits, span=PLACES
@@ -49,11 +50,9 @@ def restore_state(changelog: DataFrame) -> DataFrame:
     rows = changelog.filter("key IS NOT NULL AND key <> ''").select(
         "key", "offset", F.coalesce(F.octet_length("value8"), F.lit(0)).alias("size"), decode_u64("value8").alias("n")
     )
-    valid = rows.filter("size = 0 OR n IS NOT NULL")
-    last = valid.groupBy("key").agg(
-        F.max_by(F.struct("n"), "offset").alias("last"), F.count("n").alias("applied")
-    )
-    return last.select("key", F.col("last.n").alias("n"), "applied")
+    valid = rows.filter("size IN (0, 8)")  # eight bytes are always a number; asking it would decode them once more
+    # Numbers only, so that the records are hashed on their way in; a struct in the buffer would have them sorted by key.
+    return valid.groupBy("key").agg(F.max_by("n", "offset").alias("n"), F.count("n").alias("applied"))
 
 
 def seeded_word_count(docs: DataFrame, counters: DataFrame) -> DataFrame:
