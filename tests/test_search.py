@@ -107,6 +107,24 @@ def test_lists_are_bounded(spark, index):
     assert max(top) <= 1 << search.RANGE_BITS
 
 
+def test_a_posting_is_one_number(spark, index):
+    """Id and length of a document are stored once a document, not once a posting."""
+    _, path = index
+    stored = search.read_postings(spark, path)
+    assert stored.schema["docs"].dataType.simpleString() == "array<bigint>"
+    assert stored.agg(F.sum(F.size("about"))).first()[0] == len(corpus())
+    assert stored.filter("size(about) > 0").select("term").distinct().collect() == [(search.ALL,)]
+
+
+def test_ids_of_any_type_and_long_frequencies(spark, tmp_path):
+    rows = [(f"d{i}", " ".join(["often"] * (70000 if i == 1500 else 1 + i % 3))) for i in range(2100)] + [(None, "often rare")]
+    docs = spark.createDataFrame(rows, "name string, text string")
+    search.build_index(docs, str(tmp_path), ident="name")
+    got = search.match_index(spark, str(tmp_path), "often rare", 7, ident="name").collect()
+    assert got == words.match_top_k(docs, "often rare", 7, ident="name").collect()
+    assert {r.name for r in got} >= {None, "d1500"}
+
+
 def test_term_counts(spark):
     df = spark.createDataFrame([(["b", "a", "b"],), ([],), (["x"],)], "ws array<string>")
     got = [[tuple(t) for t in r[0]] for r in df.select(search.term_counts(F.col("ws"))).collect()]

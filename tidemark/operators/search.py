@@ -1,8 +1,9 @@
 """A stored inverted index with block maxima, and best-k search that reads the query's postings only.
 
 Documents are numbered in scan order and cut into ranges of up to 1024. The postings of a term in a range are one row:
-its documents, and the two numbers that bound every score in it (highest frequency, shortest length). The rows are
-sorted by bucket, term and range, so a frequent term spreads over files, and a query prunes folders by bucket and row
+its documents, and the two numbers that bound every score in it (highest frequency, shortest length). A posting is one
+number of the place in the range and the frequency; id and length of a document are stored once, with the range. The rows
+are sorted by bucket, term and range, so a frequent term spreads over files, and a query prunes folders by bucket and row
 groups by term. A search sums the bounds of its terms per range, scores the most promising ranges first and then only
 those ranges whose bound reaches the k-th score found.
 """
@@ -20,6 +21,8 @@ from ..functions.text import analyze_text
 from .words import B, K1, query_terms
 
 RANGE_BITS = 10
+PLACE = (1 << RANGE_BITS) - 1
+TF_BITS = 32  # the place of a posting is above its frequency
 ALL = ""  # no analyzed term is empty, so this one stands for every document
 
 
@@ -47,11 +50,17 @@ def build_index(docs: DataFrame, path: str, ident: str = "doc_id", buckets: int
     every = F.array(F.struct(F.lit(ALL).alias("term"), F.lit(0).alias("tf")))
     found = term_counts(F.coalesce("ws", F.array().cast("array<string>")))
     counted = analyzed.select("ident", "row", F.size("ws").alias("len"), F.inline(F.concat(every, found)))
-    posting = F.struct("row", "ident", "tf", "len")
+    place = F.col("row").bitwiseAND(PLACE)
+    posting = F.shiftleft(place, TF_BITS).bitwiseOR(F.col("tf").cast("long"))
     blocks = counted.groupBy("term", F.shiftright("row", RANGE_BITS).alias("range")).agg(
         F.sort_array(F.collect_list(F.when(F.col("term") != ALL, posting))).alias("docs"),
-        F.count(F.lit(1)).alias("df"), F.max("tf").alias("max_tf"), F.min("len").alias("min_len"),
-        F.count("len").alias("known"), F.sum("len").alias("sum_len"))
+        F.sort_array(F.collect_list(F.when(F.col("term") == ALL, F.struct(place.alias("place"), "ident", "len")))).alias("about"),
+        F.max("tf").alias("max_tf"), F.min("len").alias("min_len"))
+    # Counts follow from the lists, lengths are summed for the whole range only; neither is shuffled with the postings.
+    known = F.filter("about", lambda d: d["len"].isNotNull())
+    blocks = blocks.select(
+        "*", F.greatest(F.size("docs"), F.size("about")).cast("long").alias("df"), F.size(known).cast("long").alias("known"),
+        F.aggregate(known, F.lit(0).cast("long"), lambda total, d: total + d["len"]).alias("sum_len"))
     blocks = blocks.withColumn("bucket", (F.crc32(F.col("term").cast("binary")) % buckets).cast("int"))
     order = ["bucket", "term", "range"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -68,8 +77,8 @@ def read_postings(spark: SparkSession, path: str) -> DataFrame:
     """The blocks of an index; also where it has none."""
     ident = spark.read.parquet(f"{path}/about").first().ident
     return spark.read.schema(
-        f"term string, range long, docs array<struct<row:bigint,ident:{ident},tf:int,len:int>>, df long, max_tf int, min_len int, "
-        "known long, sum_len long, bucket int").parquet(f"{path}/postings")
+        f"term string, range long, docs array<bigint>, about array<struct<place:bigint,ident:{ident},len:int>>, df long, max_tf int, "
+        "min_len int, known long, sum_len long, bucket int").parquet(f"{path}/postings")
 
 
 def of_terms(table: DataFrame, terms: list[str], buckets: int) -> DataFrame:
@@ -92,6 +101,7 @@ class Search:
         self.avg_len = corpus.sum_len / corpus.known if corpus and corpus.known else 0.0
         self.df = {t: figures[t].df for t in self.terms if t in figures}
         self.postings = of_terms(read_postings(spark, path), list(self.df), self.buckets)
+        self.documents = of_terms(read_postings(spark, path), [ALL], self.buckets)
 
     def _weight(self, tf: Column, length: Column) -> Column:
         """Score of the row's term at a frequency and a length, rounded before it is added to others."""
@@ -107,10 +117,17 @@ class Search:
 
     def scores(self, ranges: DataFrame | None = None) -> DataFrame:
         """Scores of all documents of some ranges that hold a term."""
-        blocks = self.postings if ranges is None else self.postings.join(ranges.select("range"), "range", "left_semi")
-        rows = blocks.select("term", F.inline("docs"))
+        postings, documents = self.postings, self.documents
+        if ranges is not None:
+            postings, documents = (b.join(ranges.select("range"), "range", "left_semi") for b in (postings, documents))
+        row = F.shiftleft("range", RANGE_BITS)
+        hits = postings.select("term", row.alias("first"), F.explode("docs").alias("posting")).select(
+            "term", (F.col("first") + F.shiftright("posting", TF_BITS)).alias("row"),
+            F.col("posting").bitwiseAND((1 << TF_BITS) - 1).cast("int").alias("tf"))
+        about = documents.select(row.alias("first"), F.inline("about")).select(
+            (F.col("first") + F.col("place")).alias("row"), "ident", "len")
         total = F.sum(self._weight(F.col("tf"), F.col("len")))
-        return rows.groupBy("row").agg(F.first("ident").alias("ident"), F.round(total, 6).cast("double").alias("score"))
+        return hits.join(about, "row").groupBy("row").agg(F.first("ident").alias("ident"), F.round(total, 6).cast("double").alias("score"))
 
     def promising(self, k: int) -> DataFrame:
         """Ranges that can hold one of the best ``k``: the bound reaches the k-th score of the k ranges with the highest bounds."""
