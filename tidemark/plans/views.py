@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.running import row_numbers
+from ..operators.running import PLACES, row_numbers
 from ..session import cut_lineage, spread
 from .formulas import (
     CDC_STEPS,
@@ -83,7 +83,7 @@ class Tables:
 
     @cached_property
     def log(self) -> DataFrame:
-        numbered = row_numbers(self.log_rows, ["topic", "partition"], ["event_id"])
+        numbered = row_numbers(self.log_rows, ["topic", "partition"], ["event_id"], span=PLACES)
         return numbered.withColumn("offset", F.col("rn") - 1).drop("rn")
 
     @cached_property
