@@ -38,6 +38,16 @@ def test_chunked_encoding_is_that_of_the_library(path):
             assert np.frombuffer(raw, enc.dtype).tolist() == encode(text), repr(text)
 
 
+def test_lines_share_their_words():
+    """Words around line breaks are chunks of their own, so no line end makes a new one."""
+    enc, encode = Encoder(BYTES), plain(BYTES)
+    texts = [f"of {a}.\n{b} to" for a in ("the", "and", "in") for b in ("Les", "Zu", "By")]
+    odd = ["a\n", "\nb", "a\n b", "a\n\nb c", "a \nb", "a\n\tb c", "a.\n\n", "\n", " \n", "a\n\u00a0b", "x\n\r\n y"]
+    for text, raw in zip(texts + odd, enc.encode(texts, step=4) + enc.encode(odd), strict=True):
+        assert np.frombuffer(raw, enc.dtype).tolist() == encode(text), repr(text)
+    assert {" the.", "\nLes"} <= set(enc.new) and not any(".\n" in chunk for t in texts for chunk in enc.new if chunk in t)
+
+
 @pytest.mark.parametrize("n, top", [(0, 5), (1, 1), (10, 1), (1000, 7), (200_000, 300), (70_000, 60_000)])
 def test_wavelet_file(n, top):
     rng = np.random.default_rng(n)

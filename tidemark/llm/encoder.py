@@ -2,9 +2,10 @@
 
 A byte-level or word-level BPE never joins characters over a blank that stands between two words, so a text can be
 cut before every such blank and each distinct chunk is encoded once. Where blanks follow each other the cut would
-change the result; such a text is encoded in one go. Chunks that are new are encoded many at a time where what each
-id stands for shows their ends. The cache has two generations of bounded size, so its memory is fixed; it only saves
-time.
+change the result; such a text is encoded in one go. A byte-level BPE takes a line break between other characters as
+a unit of its own, so texts are cut before those as well: a word that ends a line and the one that opens the next are
+two chunks. Chunks that are new are encoded many at a time where what each id stands for shows their ends. The cache
+has two generations of bounded size, so its memory is fixed; it only saves time.
 """
 
 from __future__ import annotations
@@ -13,9 +14,13 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 
-BLANKS = re.compile(r"\s \s")
+BLANKS = re.compile(r" (?<=\s )\s")
+LINES = re.compile(r"\n(?:(?<=\s\n)|[^\S ])")  # breaks next to other blanks than one after them
 PLAIN_WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+[.,!?]?")
+LINE_WORD = re.compile(r"[ \n][A-Za-zÀ-ÖØ-öø-ÿ]+[.,!?]?")
 _OPEN: dict[str, Encoder] = {}
 
 
@@ -41,12 +46,14 @@ class Encoder:
             # Units are words and runs of marks, which end with a token of their own kind.
             self.units = np.zeros(max(self.vocab.values()) + 1, np.int64)
             self.units[[i for token, i in self.vocab.items() if token.endswith("</w>")]] = 1
-            self.joinable, self.size_of = PLAIN_WORD.fullmatch, lambda chunk: 1 + (chunk[-1] in ".,!?")
+            self.lines, self.word = False, PLAIN_WORD.fullmatch
+            self.joinable, self.sizes = self.word, lambda chunks: [1 + (chunk[-1] in ".,!?") for chunk in chunks]
         else:
             # Units are bytes of text.
             self.units = self.token_bytes()
-            self.joinable = lambda chunk: chunk[:1] == " " and len(chunk) > 1 and not chunk[1].isspace()
-            self.size_of = lambda chunk: len(chunk.encode())
+            self.lines, self.word = True, LINE_WORD.fullmatch
+            self.joinable = re.compile(r"[ \n]\S(?s:.*\S)?").fullmatch
+            self.sizes = lambda chunks: [len(raw) for raw in map(str.encode, chunks)]
         self.marks = {m: self._ids(m) for m in ".,!?"}
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -63,27 +70,27 @@ class Encoder:
     def _ids(self, text: str) -> bytes:
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _learn(self, chunks: list[str]) -> None:
         """Put the ids of chunks into the cache, from the older generation, from the word without its mark, or the tokenizer."""
-        together, alone, marked = [], [], []
-        new, old = self.new, self.old
+        together, alone, marked, asked = [], [], [], set(chunks)
+        new, old, marks, word, joinable = self.new, self.old, self.marks, self.word, self.joinable
         for chunk in chunks:
             known = old.get(chunk)
             if known is not None:
                 new[chunk] = known
                 continue
-            if chunk[-1:] in self.marks and PLAIN_WORD.fullmatch(chunk):
+            if chunk[-1:] in marks and word(chunk):
                 # Letters and the mark after them are encoded apart.
                 marked.append(chunk)
                 chunk = chunk[:-1]
-                if chunk in chunks or chunk in new:
+                if chunk in new or chunk in asked:
                     continue
                 known = old.get(chunk)
                 if known is not None:
                     new[chunk] = known
                     continue
                 new[chunk] = b""  # taken, its ids follow
-            if self.joinable(chunk):
+            if joinable(chunk):
                 together.append(chunk)
             else:
                 alone.append(chunk)
@@ -95,13 +102,13 @@ class Encoder:
             (found,) = self.plain.encode_batch_fast(["".join(part)], add_special_tokens=False)
             ids = np.array(found.ids, self.dtype)
             # Every id stands for a number of units, and so does every chunk: their running sums meet at the ends.
-            ends = np.searchsorted(np.cumsum(self.units[ids]), np.cumsum([self.size_of(c) for c in part]), "left") + 1
+            ends = np.searchsorted(np.cumsum(self.units[ids]), np.cumsum(self.sizes(part)), "left") + 1
             raw, at_byte = ids.tobytes(), 0
             for chunk, end in zip(part, (ends * size).tolist(), strict=True):
-                self.new[chunk] = raw[at_byte:end]
+                new[chunk] = raw[at_byte:end]
                 at_byte = end
         for chunk in marked:
-            new[chunk] = new[chunk[:-1]] + self.marks[chunk[-1]]
+            new[chunk] = new[chunk[:-1]] + marks[chunk[-1]]
 
     def encode(self, texts: list[str | None], step: int = 400) -> list[bytes]:
         """Ids of each text as little-endian integers of ``self.dtype``; a null counts as empty."""
@@ -109,21 +116,30 @@ class Encoder:
         for at in range(0, len(texts), step):
             if len(self.new) > self.entries:
                 self.old, self.new = self.new, {}
-            known, rows, open_, fresh = self.new.get, [], [], set()
-            for text in texts[at : at + step]:
+            cuts, whole = [], {}
+            for k, text in enumerate(texts[at : at + step]):
                 if not text or "\0" in text or BLANKS.search(text):
-                    rows.append([self._ids(text) if text else b""])
+                    if text:
+                        whole[k] = self._ids(text)
+                    cuts.append("")
                     continue
-                chunks = text.replace(" ", "\0 ").split("\0")
-                row = list(map(known, chunks))
-                holes = [k for k, x in enumerate(row) if x is None]
-                if holes:
-                    open_.append((row, chunks, holes))
-                    fresh.update([chunks[k] for k in holes])
-                rows.append(row)
-            self._learn(fresh)
-            for row, chunks, holes in open_:
+                cut = text.replace(" ", "\0 ")
+                if self.lines and "\n" in text and not LINES.search(text):
+                    cut = cut.replace("\n", "\0\n")
+                cuts.append(cut)
+            kind = pa.string() if sum(map(len, cuts)) < 1 << 28 else pa.large_string()
+            chunks = pa.compute.split_pattern(pa.array(cuts, kind), "\0")
+            # The cache is asked once per distinct chunk of a step; their ids are laid out by place.
+            coded = chunks.values.dictionary_encode()
+            names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            found = list(map(self.new.get, names))
+            holes = [k for k, x in enumerate(found) if x is None]
+            if holes:
+                self._learn([names[k] for k in holes])
                 for k in holes:
-                    row[k] = self.new[chunks[k]]
-            out += map(b"".join, rows)
+                    found[k] = self.new[names[k]]
+            laid = pa.array(found, pa.large_binary()).take(coded.indices)
+            raw = memoryview(laid.buffers()[2] or b"")
+            ends = np.frombuffer(laid.buffers()[1], np.int64)[chunks.offsets.to_numpy()].tolist()
+            out += [whole.get(k) or raw[a:b].tobytes() for k, (a, b) in enumerate(zip(ends, ends[1:], strict=False))]
         return out

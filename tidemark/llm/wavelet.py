@@ -35,17 +35,19 @@ def write_file(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray) -> byt
     dictionary = press.compress(np.concatenate([doc_ids.astype("<i8"), lengths.astype("<i8")]).tobytes())
     heads, bodies = [], []
     for level in range(levels - 1, -1, -1):
-        bits = (codes >> codes.dtype.type(level)) & codes.dtype.type(1)
-        on = bits.astype(bool)
-        packed = np.packbits(on, bitorder="little").tobytes()
-        cuts = range(0, len(ids), BLOCK)
-        ones = np.add.reduceat(bits, list(cuts), dtype=np.int64)
-        blocks = [press.compress(packed[a // 8 : (a + BLOCK) // 8]) for a in cuts]
+        blocks, ones, low, high = [], [], [], []
+        for a in range(0, len(ids), BLOCK):  # what a block needs stays in the processor's cache
+            part = codes[a : a + BLOCK]
+            on = (part & codes.dtype.type(1 << level)) != 0
+            blocks.append(press.compress(np.packbits(on, bitorder="little").tobytes()))
+            low.append(part.compress(~on))
+            high.append(part.compress(on))
+            ones.append(len(high[-1]))
         before = np.concatenate([[0], np.cumsum(ones)])
         ends = np.concatenate([[0], np.cumsum([len(b) for b in blocks])])
         heads.append(np.concatenate([before, ends]).astype("<i8").tobytes())
         bodies.append(b"".join(blocks))
-        codes = np.concatenate([codes[~on], codes[on]])
+        codes = np.concatenate([*low, *high])
     names = symbols.astype("<u4").tobytes()
     return b"".join([HEAD.pack(MAGIC, len(ids), levels, len(symbols), len(doc_ids)), names,
                      struct.pack("<Q", len(dictionary)), dictionary, *heads, *bodies])
@@ -171,24 +173,31 @@ class WaveletFile:
         codes = np.zeros(self.n, kind)
         for level in range(self.levels - 1, -1, -1):
             ends = (self.body[level] + self.ends[level]).tolist()
-            packed = b"".join(self._press.decompress(self.raw[a:b]) for a, b in zip(ends, ends[1:], strict=False))
-            on = np.unpackbits(np.frombuffer(packed, np.uint8), count=self.n, bitorder="little").view(bool)
-            zeros, up = self._zeros(level), np.empty_like(codes)
-            up[~on] = codes[:zeros]
-            up[on] = codes[zeros:] | kind(1 << (self.levels - 1 - level))
+            low, high, up = 0, self._zeros(level), np.empty_like(codes)
+            for block, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+                part = up[block * BLOCK : (block + 1) * BLOCK]
+                packed = np.frombuffer(self._press.decompress(self.raw[a:b]), np.uint8)
+                on = np.unpackbits(packed, count=len(part), bitorder="little").view(bool)
+                # Places are quicker than masks where zeros and ones take turns.
+                zeros, ones = np.flatnonzero(~on), np.flatnonzero(on)
+                part[zeros] = codes[low : low + len(zeros)]
+                part[ones] = codes[high : high + len(ones)] | kind(1 << (self.levels - 1 - level))
+                low, high = low + len(zeros), high + len(ones)
             codes = up
         return self.symbols[codes]
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, shard_tokens: int = 1 << 21) -> None:
+def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, shard_tokens: int = 1 << 21,
+                 cache: int = 800_000) -> None:
     """Encode all documents and write them in ascending ``doc_id`` order (nulls first) as wavelet files below ``path``.
 
     Every row is one document with the end id after it; a null text counts as empty. Rows of one id stay together.
     A document is never split, so a shard may exceed ``shard_tokens`` by its last document.
+    ``cache`` is the number of chunks in a generation of the token cache.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        enc, part, seq = encoder(tokenizer, cache), TaskContext.get().partitionId(), 0
         end = np.array([end_id], enc.dtype).tobytes()
         names, lengths, parts, held = [], [], [], 0
 
