@@ -162,6 +162,14 @@ def test_headers(spark):
     assert len(df.select(hd.set_header("e", "k", F.lit("v"))).first()[0]) == 1
 
 
+def test_header_names_are_listed_once(spark):
+    """Two bindings, the new values and one list of names for each side; none inside the loop over headers."""
+    df = spark.createDataFrame([([("a", b"1"), ("c", b"0")],)], "headers array<struct<key:string,value:binary>>")
+    out = df.select(hd.put_headers("headers", {"a": F.lit("2"), "b": F.lit("3")}).alias("x"))
+    assert out._jdf.queryExecution().analyzed().toString().count("transform(") == 5
+    assert [(h.key, bytes(h.value)) for h in out.first().x] == [("a", b"2"), ("c", b"0"), ("b", b"3")]
+
+
 def test_coordinates_and_backoff(spark):
     df = spark.sql("select 't' t, 3 p, 17L o, explode(sequence(1, 6)) n")
     r = df.select(

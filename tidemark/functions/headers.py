@@ -41,20 +41,20 @@ def put_headers(headers: str | Column, updates: dict[str, Column]) -> Column:
     old = F.coalesce(column, F.array().cast("array<struct<key:string,value:binary>>"))
 
     def merge(pair):
-        names = F.transform(pair["old"], lambda h: h["key"])
-
         def replaced(h, i):
             at = F.array_position(pair["names"], h["key"])
-            first = (at > 0) & (F.array_position(names, h["key"]) == i + 1)
+            first = (at > 0) & (F.array_position(pair["held"], h["key"]) == i + 1)
             value = F.when(first, F.get(pair["new"], (at - 1).cast("int"))["value"]).otherwise(h["value"])
             return F.struct(h["key"].alias("key"), value.alias("value"))
 
-        added = F.filter(pair["new"], lambda u: ~F.array_contains(names, u["key"]))
+        added = F.filter(pair["new"], lambda u: ~F.array_contains(pair["held"], u["key"]))
         return F.concat(F.transform(pair["old"], replaced), added)
 
     def with_names(new):
+        # Both lists of names are made once, not once per header.
         return F.struct(
-            old.alias("old"), new.alias("new"), F.transform(new, lambda u: u["key"]).alias("names")
+            old.alias("old"), new.alias("new"), F.transform(new, lambda u: u["key"]).alias("names"),
+            F.transform(old, lambda h: h["key"]).alias("held"),
         )
 
     return bound(bound(header_list(updates), with_names), merge)
