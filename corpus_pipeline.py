@@ -17,10 +17,13 @@ from tidemark.llm.common import importable, table, unused
 from tidemark.llm.registry import tokenizer
 from tidemark.session import cut_lineage, prepare
 
+# The stages share their executors, which keep the largest buffers of any of them: smaller batches than for one query.
+BATCH = "2m"
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are predicted toxic go. Learned from the labelled rows of ``docs``; null texts stay."""
-    importable(spark)
+    importable(spark, BATCH)
     weights = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     score, predicted = unused(docs, "toxic_score"), unused(docs, "toxic_predicted")
     scored = toxicity.score(docs, weights, names=(score, predicted))
@@ -33,7 +36,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     A row goes only if its own text is a copy, whatever else its id has. Of rows with the same id and text one stays.
     Documents without words are no copies of anything and all stay.
     """
-    importable(spark)
+    importable(spark, BATCH)
     found = cut_lineage(jaccard.row_components(docs).where("n_shingles > 0"), "near-copies")
     row = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "mark")
     first = found.groupBy("component").agg(F.min(row).alias("first"))
@@ -56,17 +59,19 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret that is found is replaced by a mark; all documents stay."""
+    importable(spark, BATCH)
     return secrets.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture of the sources by weight: what is taken of a document, once per repeat."""
+    importable(spark, BATCH)
     return mixing.mixed_texts(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 tokens, one row per piece."""
-    importable(spark)
+    importable(spark, BATCH)
     return packing.pack(docs, tokenizer("word_bpe_49k.json"))
 
 

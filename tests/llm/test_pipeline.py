@@ -136,3 +136,24 @@ def test_rows_go_only_if_their_own_text_is_a_copy(spark, tmp_path):
     assert [kept[x] for x in [(1, texts["a"]), (2, texts["b"]), (2, texts["c"]), (None, texts["e"]), (5, ""), (5, None), (None, " ")]] == [1] * 7
     assert kept[None, texts["d"]] + kept[None, near["d"]] == 1 == kept[4, texts["f"]] + kept[4, near["f"]]
     assert sum(kept.values()) == 9
+
+
+def test_stages_bound_their_batches(spark):
+    """Executors run all stages one after another, so each of them hands small batches to its Python workers."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        importable(spark)
+        stage(spark, docs, SMALL)
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "2m", name
+    importable(spark)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "16m"
+
+
+def test_mixing_sends_its_tables_without_python(spark, capsys):
+    docs = spark.createDataFrame([(1, "a b", "x"), (2, "c", None)], "doc_id long, text string, source string")
+    mixing.mix(docs.coalesce(1)).explain()
+    assert capsys.readouterr().out.count("ExistingRDD") == 1  # the documents given here
+    kinds = {"of": mixing.pa.string(), "n": mixing.pa.int64()}
+    assert [tuple(r) for r in mixing.local(spark, [("x", 1), (None, None)], kinds).collect()] == [("x", 1), (None, None)]
+    none = mixing.local(spark, [], kinds)
+    assert none.dtypes == [("of", "string"), ("n", "bigint")] and none.isEmpty()

@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 
+from .common import trim
+
 BLANKS = re.compile(r" (?<=\s )\s")
 LINES = re.compile(r"\n(?:(?<=\s\n)|[^\S ])")  # breaks next to other blanks than one after them
 PLAIN_WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+[.,!?]?")
@@ -28,6 +30,7 @@ def encoder(path: str, entries: int = 300_000) -> Encoder:
     """The encoder of a tokenizer file, one per Python worker; a generation of its cache has ``entries`` chunks."""
     if path not in _OPEN:
         _OPEN[path] = Encoder(path, entries)
+        trim()  # what reading the file and earlier operators left
     _OPEN[path].entries = entries
     return _OPEN[path]
 

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WORDS, word_count
@@ -77,6 +77,12 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def local(spark: SparkSession, rows: list[tuple], kinds: dict[str, pa.DataType]) -> DataFrame:
+    """A table of the driver's rows, sent as Arrow: from plain rows Spark starts a Python worker per core to pickle them."""
+    columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
+    return spark.createDataFrame(pa.table([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds)))
+
+
 def _deal(docs: DataFrame, seed: int, block: int, shard_words: int) -> DataFrame:
     """Rows with their ``size``, ``src`` and ``shard``, and the blocks and the quota of the shard; ``text`` is dropped."""
     spark = docs.sparkSession
@@ -86,7 +92,7 @@ def _deal(docs: DataFrame, seed: int, block: int, shard_words: int) -> DataFrame
     per.sort(key=lambda r: (r.source is None, r.source or ""))
     goal = targets([r.source_size for r in per], [WEIGHTS[i % len(WEIGHTS)] for i in range(len(per))])
     rows = [(r.source, i, r.source_size, goal[i], max(1, -(-r.source_size // shard_words))) for i, r in enumerate(per)]
-    sources = spark.createDataFrame(rows, "of string, src int, source_size long, target double, shards long")
+    sources = local(spark, rows, {"of": pa.string(), "src": pa.int32(), "source_size": pa.int64(), "target": pa.float64(), "shards": pa.int64()})
     dealt = sized.join(small(sources, len(rows)), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("place"), F.col("shards")))
     held = dealt.groupBy("src", "shard").agg(F.sum("size").alias("words")).collect()
@@ -103,7 +109,7 @@ def _deal(docs: DataFrame, seed: int, block: int, shard_words: int) -> DataFrame
         own = sorted(shards[s])
         given = sainte_lague(n, [w for _, w in own], [2 * b for b in blocks[s]])
         quotas += [(s, k, b, q) for (k, _), b, q in zip(own, blocks[s], given, strict=True)]
-    given = spark.createDataFrame(quotas, "src int, shard long, blocks long, quota long")
+    given = local(spark, quotas, {"src": pa.int32(), "shard": pa.int64(), "blocks": pa.int64(), "quota": pa.int64()})
     return dealt.drop("shards").join(small(given, len(quotas)), ["src", "shard"], "left")
 
 
