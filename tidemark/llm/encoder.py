@@ -4,8 +4,9 @@ A byte-level or word-level BPE never joins characters over a blank that stands b
 cut before every such blank and each distinct chunk is encoded once. Where blanks follow each other the cut would
 change the result; such a text is encoded in one go. A byte-level BPE takes a line break between other characters as
 a unit of its own, so texts are cut before those as well: a word that ends a line and the one that opens the next are
-two chunks. Chunks that are new are encoded many at a time where what each id stands for shows their ends. The cache
-has two generations of bounded size, so its memory is fixed; it only saves time.
+two chunks. Of new chunks, words of letters are given to the model of the byte-level tokenizer one by one, spelt as its
+bytes, since nothing before the model changes or cuts them; others are encoded many at a time where what each id stands
+for shows their ends. The cache has two generations of bounded size, so its memory is fixed; it only saves time.
 """
 
 from __future__ import annotations
@@ -38,13 +39,14 @@ def encoder(path: str, entries: int = 300_000) -> Encoder:
 class Encoder:
     def __init__(self, path: str, entries: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.plain = Tokenizer.from_file(path)
         self.plain.encode_special_tokens = True  # their strings in a text are ordinary text
         self.vocab = self.plain.get_vocab()
         self.dtype = np.dtype("<u2") if max(self.vocab.values()) < 1 << 16 else np.dtype("<u4")
         self.entries = entries
+        self.spelt: dict[int, str] = {}
         if any(token.endswith("</w>") for token in self.vocab):
             # Units are words and runs of marks, which end with a token of their own kind.
             self.units = np.zeros(max(self.vocab.values()) + 1, np.int64)
@@ -57,6 +59,10 @@ class Encoder:
             self.lines, self.word = True, LINE_WORD.fullmatch
             self.joinable = re.compile(r"[ \n]\S(?s:.*\S)?").fullmatch
             self.sizes = lambda chunks: [len(raw) for raw in map(str.encode, chunks)]
+            if self.plain.normalizer is None:
+                bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+                self.spelt = {ord(c): bytes_of(c)[0][0] for c in " " + "".join(map(chr, range(0xC0, 0x100)))}
+                self.line = self.plain.encode("\n", add_special_tokens=False).ids
         self.marks = {m: self._ids(m) for m in ".,!?"}
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -75,14 +81,15 @@ class Encoder:
 
     def _learn(self, chunks: list[str]) -> None:
         """Put the ids of chunks into the cache, from the older generation, from the word without its mark, or the tokenizer."""
-        together, alone, marked, asked = [], [], [], set(chunks)
-        new, old, marks, word, joinable = self.new, self.old, self.marks, self.word, self.joinable
+        words, together, alone, marked, asked = [], [], [], [], set(chunks)
+        new, old, marks, word, joinable, spelt = self.new, self.old, self.marks, self.word, self.joinable, self.spelt
         for chunk in chunks:
             known = old.get(chunk)
             if known is not None:
                 new[chunk] = known
                 continue
-            if chunk[-1:] in marks and word(chunk):
+            letters = word(chunk)
+            if letters and chunk[-1] in marks:
                 # Letters and the mark after them are encoded apart.
                 marked.append(chunk)
                 chunk = chunk[:-1]
@@ -93,13 +100,17 @@ class Encoder:
                     new[chunk] = known
                     continue
                 new[chunk] = b""  # taken, its ids follow
-            if joinable(chunk):
+            if letters and spelt:
+                words.append(chunk)
+            elif letters or joinable(chunk):
                 together.append(chunk)
             else:
                 alone.append(chunk)
         for chunk, found in zip(alone, self.plain.encode_batch_fast(alone, add_special_tokens=False), strict=True):
             self.new[chunk] = np.array(found.ids, self.dtype).tobytes()
         size = self.dtype.itemsize
+        if words:
+            self._learn_words(words)
         for at in range(0, len(together), 256):
             part = together[at : at + 256]
             (found,) = self.plain.encode_batch_fast(["".join(part)], add_special_tokens=False)
@@ -113,6 +124,23 @@ class Encoder:
         for chunk in marked:
             new[chunk] = new[chunk[:-1]] + marks[chunk[-1]]
 
+    def _learn_words(self, words: list[str]) -> None:
+        """Put the ids of chunks of one blank or line break and letters into the cache."""
+        tokenize, blank, spelt, line = self.plain.model.tokenize, self.spelt[ord(" ")], self.spelt, self.line
+        ids: list[int] = []
+        ends = [0]
+        for chunk in words:
+            letters = chunk[1:] if chunk.isascii() else chunk[1:].translate(spelt)
+            if chunk[0] == " ":
+                letters = blank + letters
+            else:
+                ids += line
+            ids += [token.id for token in tokenize(letters)]
+            ends.append(len(ids))
+        raw, size, new = np.array(ids, self.dtype).tobytes(), self.dtype.itemsize, self.new
+        for chunk, a, b in zip(words, ends, ends[1:], strict=False):
+            new[chunk] = raw[a * size : b * size]
+
     def encode(self, texts: list[str | None], step: int = 400) -> list[bytes]:
         """Ids of each text as little-endian integers of ``self.dtype``; a null counts as empty."""
         out: list[bytes] = []

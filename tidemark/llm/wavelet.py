@@ -20,10 +20,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import work_dir
+from .common import blocks
 from .encoder import encoder
 
 MAGIC = b"WVLT0001"
 BLOCK = 1 << 16  # bits of a plane that are compressed together
+TOGETHER = 2000  # texts that are encoded at once, or fewer where they are long
 HEAD = struct.Struct("<8sQIIQ")  # magic, ids, planes, alphabet size, documents
 
 
@@ -212,9 +214,9 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, sh
                 names=["part", "seq", "n_tokens", "n_docs", "file"])
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(ids), 400):
-                for doc_id, raw in zip(ids[at : at + 400], enc.encode(texts[at : at + 400]), strict=True):
+            for block in blocks(batch, 1, TOGETHER, 8 << 20):
+                ids, texts = block.column(0).to_pylist(), block.column(1).to_pylist()
+                for doc_id, raw in zip(ids, enc.encode(texts, TOGETHER), strict=True):
                     names.append(doc_id)
                     parts.append(raw + end)
                     lengths.append(len(parts[-1]) // enc.dtype.itemsize)
