@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, mix64, release
+from .common import fold, mix64, release, trim
 
 LETTERS = re.compile(r"\w+")
 KINDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -103,7 +103,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 12_000, bits: int =
     # In small pieces, of which the driver's JVM holds a few at a time.
     found = rows.mapInArrow(hashed, "doc_id long, h long, y int, places binary").repartition(64)
     got = sorted(found.collect(), key=lambda r: (r.h, r.doc_id))
-    return fit([(unpacked(r.places), r.y) for r in got], bits)
+    examples = [(unpacked(r.places), r.y) for r in got]
+    del got
+    weights = fit(examples, bits)
+    del examples
+    trim()  # the driver goes on with other work
+    return weights
 
 
 def score(docs: DataFrame, weights: Weights, threshold: float = 0.3, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
